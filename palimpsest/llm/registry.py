@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("fingerprints", "piece_bpe", "prefix_counts", "quality_rules", "quality_trees", "mixing")
+MODULES = ("fingerprints", "piece_bpe", "prefix_counts", "quality_rules", "quality_trees", "near_dedup", "mixing")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
