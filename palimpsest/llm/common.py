@@ -61,11 +61,15 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_next(df: DataFrame, key: str, carry: str, out: str, ring: bool = False, descending: bool = False) -> DataFrame:
-    """Adds as `out` the value of `carry` in the next row in the order of `key` (null after the last, or the first row's in a ring).
-
-    `key` holds no nulls; rows with equal keys follow each other in any order. The order is cut into ranges at
-    sampled keys, which decide only the balance: each range gets a copy of the first row of the next one.
+def with_next(
+    df: DataFrame, key: str, carry: str, out: str, ring: bool = False, descending: bool = False, last: str | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Adds as `out` the value of `carry` in the next row in the order of `key` (null after the last, or the first row's in
+    a ring), and as `last`, if given, that in the row before (null before the first).
+
+    `key` holds no nulls; rows with equal keys follow each other in any order. The order is cut into ranges at sampled
+    keys, which decide only the balance; each range gets a copy of the first row of the next one (and the last of the one
+    before). `prepare`, which keeps rows and their `_range` and `_copy`, is run on the rows just before they are dealt out.
     """
     spark = df.sparkSession
     n = 2 * parts(spark)
@@ -74,18 +78,27 @@ def with_next(df: DataFrame, key: str, carry: str, out: str, ring: bool = False,
     cuts = sorted(set(drawn[:: max(1, len(drawn) // n)][1:]))
     place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(key))) if cuts else F.lit(0)
     placed = df.withColumn("_range", place)
-    edge = F.max(key) if descending else F.min(key)
-    edges = dict(sorted(tuple(r) for r in placed.groupBy("_range").agg(edge).collect()))
+    edges = {r[0]: (r[1], r[2]) for r in placed.groupBy("_range").agg(F.min(key), F.max(key)).collect()}
     order = sorted(edges, reverse=descending)
-    after = {b: a for a, b in zip(order, order[1:])}
+    rows = placed.withColumn("_copy", F.lit(0))
+
+    def copies(to: dict[int, int], side: int, mark: int) -> DataFrame:
+        moved = F.create_map(*[F.lit(x) for b, a in to.items() for x in (b, a)])
+        at_edge = placed.where(F.col(key).isin([edges[b][side] for b in to]))
+        return at_edge.withColumn("_range", moved[F.col("_range")]).where("_range IS NOT NULL").withColumn("_copy", F.lit(mark))
+
+    before = {b: a for a, b in zip(order, order[1:])}
     if ring and order:
-        after[order[0]] = order[-1]
+        before[order[0]] = order[-1]
+    if before:
+        rows = rows.unionByName(copies(before, 1 if descending else 0, 1))
+    if last and len(order) > 1:
+        rows = rows.unionByName(copies(dict(zip(order, order[1:])), 0 if descending else 1, -1))
+    if prepare:
+        rows = prepare(rows)
     step = F.col(key).desc() if descending else F.col(key).asc()
-    rows = placed.withColumn("_copy", F.lit(0))
-    if after:
-        moved = F.create_map(*[F.lit(x) for b, a in after.items() for x in (b, a)])
-        first = placed.where(F.col(key).isin([edges[b] for b in after]))
-        copies = first.withColumn("_range", moved[F.col("_range")]).withColumn("_copy", F.lit(1))
-        rows = rows.unionByName(copies)
     w = W.partitionBy("_range").orderBy("_copy", step)
-    return rows.withColumn(out, F.lead(carry).over(w)).where("_copy = 0").drop("_copy", "_range")
+    rows = rows.withColumn(out, F.lead(carry).over(w))
+    if last:
+        rows = rows.withColumn(last, F.lag(carry).over(w))
+    return rows.where("_copy = 0").drop("_copy", "_range")
