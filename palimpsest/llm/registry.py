@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("fingerprints", "piece_bpe", "prefix_counts", "quality_rules", "quality_trees", "license_scan", "page_text", "near_dedup", "mixing")
+MODULES = ("fingerprints", "piece_bpe", "prefix_counts", "quality_rules", "quality_trees", "license_scan", "page_text", "near_dedup", "mixing", "ngram_trie")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
