@@ -26,18 +26,24 @@ from .common import scratch, table, written
 
 FOLDS, HELD_OUT = 7, 2
 ORDER = 3
-#: A context of count n gives n / (n + prior) to what it was seen with and the rest to the shorter context, by order.
-PRIORS = {2: 60.0, 3: 4.0}
+#: A context of count n gives n / (n + prior) to what it was seen with and the rest to the shorter context; the prior is
+#: FACTOR * n ** POWER, by order, as frequent contexts go on meeting new words.
+PRIORS = {2: (6.0, 0.9), 3: (8.0, 0.7)}
 #: Tokens of a shard, about: their number grows with the corpus, their size doesn't.
 SHARD_TOKENS = 2_000_000
 #: Words of a vocabulary shard, at most on average.
 SHARD_WORDS = 1_000_000
 #: log10 probabilities are kept in steps of STEP down from 0.
-STEP = 1 / 24
+STEP = 1 / 40
 #: The token after the last word of a text: a hash that no word is likely to have.
 END = np.uint64(0x5EED_0000_0000_0001)
 
 
+def prior(order: int, count: np.ndarray) -> np.ndarray:
+    factor, power = PRIORS[order]
+    return factor * np.maximum(count, 1).astype(float) ** power
+
+
 # Elias-Fano sequences
 
 
@@ -420,9 +426,10 @@ def _levels(model: Model, reader: Reader, blocks: list[bytes], totals) -> dict[s
     thirds = (owner.astype(np.uint64) * size + w)[real]
     starts = np.searchsorted(owner[real], np.arange(len(pair) + 1))
     context_count = totals(u[first_at])[context]
-    p2 = pair_count / (context_count + PRIORS[2])
-    p3 = (c / (pair_count[owner] + PRIORS[3]))[real]
-    back = PRIORS[3] / (pair_count + PRIORS[3])
+    p2 = pair_count / (context_count + prior(2, context_count))
+    mass = pair_count + prior(3, pair_count)
+    p3 = (c / mass[owner])[real]
+    back = 1 - pair_count / mass
     return (
         _sequence("firsts", EliasFano.of(u[first_at], model.universe))
         | _sequence("seconds", EliasFano.of(context.astype(np.uint64) * size + v, len(first_at) * model.universe))
@@ -480,7 +487,7 @@ def text_scores(reader: Reader, w: tokens.Words) -> tuple[np.ndarray, np.ndarray
         before = np.insert(ids[:-1], 0, m.begin)
         before[at[:-1]] = m.begin
         context_count = np.where(before == m.begin, m.n_texts, np.insert(counts[:-1], 0, 0))
-        p2 = base * np.where(before >= 0, PRIORS[2] / (context_count + PRIORS[2]), 1.0)
+        p2 = base * np.where(before >= 0, 1 - context_count / (context_count + prior(2, context_count)), 1.0)
         known = np.flatnonzero((before >= 0) & (ids >= 0))
         pair = _pairs(before[known], ids[known])
         shard = _shard_of(pair, m.shards)
