@@ -15,7 +15,7 @@ WEIGHTS = (1, 2, 3)
 #: A source's weight at time t in [0, 1] is its target * (1 + slope * (2 * t - 1)), by its place in the order; the mean over time is its target.
 SLOPES = (-0.5, 0.0, 0.5)
 #: Documents in a block of a source: cumulative sizes are taken within blocks and over blocks, so that a source of any size is dealt out.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 1_000
 
 
 def sizes(text: Column) -> Column:
