@@ -38,7 +38,7 @@ def test_document(cleaned):
     lines = r.clean_text.split("\n")
     assert lines[0] == "Глава 5. ПОВЕРЖЕННЫЙ ДРАКОН" and lines[1].startswith("Первая строка, которая продолжается дальше лицее».") and "положили революцию." in r.clean_text
     assert not any(x in r.clean_text for x in ("БЕЛОЕ", "~~~~", "Опубликовано", "x.org", "Рис. 4", "117")) and lines[-1] == "Конец истории (рис. 3 и 4)."
-    assert (r.removed_promos, r.removed_note_like, r.removed_reference_like, r.removed_sentences) == (1, 1, 1, 3)
+    assert (r.removed_promos, r.removed_note_like, r.removed_reference_like, r.removed_sentences) == (1, 1, 1, 2)
 
 
 def test_intrusive_heading_and_back_matter(cleaned):
