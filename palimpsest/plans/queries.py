@@ -13,7 +13,7 @@ from ..functions import line_rules as L
 from ..functions import normalize as N
 from ..functions import patterns as P
 from ..functions.rx import count, has, let, lines, n_compact, solid_lines, strip, tally
-from ..operators import edit_plans, evaluation, layout, page_cleaning, reports, review, routing, states, stitching
+from ..operators import edit_plans, evaluation, layout, page_cleaning, post_clean, reports, review, routing, states, stitching
 from . import noise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,3 +287,9 @@ _OCR = "(doc_id * 37 % 101) < 8"
 def ocr_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("source").alias("book"), "doc_id", F.col("doc_id").alias("page_number"), F.expr(_OCR).alias("success"))
     return routing.ocr_breaker(d).select("doc_id", "ocr_disabled")
+
+
+@query()
+def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = post_clean.cleaned_documents(noise.pages(spark, sf_dir))
+    return d.select("doc_id", "clean_text", "removed_sentences", "removed_promos", "removed_note_like", "removed_reference_like")
