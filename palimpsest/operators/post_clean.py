@@ -66,6 +66,19 @@ TERMINAL = r"[.!?…][\"'»”)]*$"
 BIBLIOGRAPHY = r"\bСписок литературы\b[:.]?\s*"
 FOOTNOTE_SUFFIX = r"(?<=[\w»”\"\)])(?:\?{0,2}\d+(?:[!?])?|\?{2})\)"
 INLINE_HEADING = r'^(?:Глава|Часть|ЧАСТЬ)\s+[IVXLCDM0-9]+(?:[.:]\s*|\s+)(?:[«»"A-ZА-ЯЁ0-9 .,:;—–\-()]{3,160}\s+)?([а-яё].+)$'
+LEADING_SECTION = r"^((?:Глава|Часть|ЧАСТЬ)\s+[IVXLCDM0-9]+(?:[.:]?\s+))(.+)$"
+SECTION_NUMBER = r"^(Глава|Часть|ЧАСТЬ)\s+([IVXLCDM0-9]+)\.?\s*"
+FIGURE = r"(?:Рис|Илл|Табл)\."
+FIGURE_START = r"^(?:Рис|Илл|Табл)\.\s*\d+"
+SENTENCES = r"\.\s+(?=[А-ЯЁа-яё])"
+BODY_START = r'^[«"“„(]*[А-ЯЁа-яё][А-Яа-яёЁ\-]{2,}'
+BODY_CUE = r"\b(?:это|этот|эта|эти|однако|поэтому|при этом|в результате|в данном|исследовател|археолог|можно|следует|позвол|показыва|служил|служила|служили|являл|являет|были|было|стал|стала|стали|оказал|оказыва|имеет|имели|обнаруж|применен|применя|доказыва|характериз|подтвержда|свидетельств|например|прежде|кроме|здесь|далее|первый|второй|вопрос|пример)\b"
+SOURCE_CUE = r"\b(?:РГИА|РГАВМФ|ОР\s+БАН|АСП-\d+|Публикуется впервые|музей|архив)\b"
+SECTION_BEFORE_FIGURE = r"^(?:Глава|Часть|ЧАСТЬ)\s+[IVXLCDM0-9]+(?:\.\s*|\s+).{3,120}?\s+(?=(?:Рис|Илл|Табл)\.)"
+AUTHOR_BEFORE_FIGURE = r"^[А-ЯЁ]\.[А-ЯЁ]\.\s+[А-ЯЁ][а-яё]+(?:\.\s+|\s+).{10,180}?\s+(?=(?:Рис|Илл|Табл)\.)"
+AUTHOR_TITLE = r"[А-ЯЁ]\.[А-ЯЁ]\.\s+[А-ЯЁ][а-яё]+(?:\.\s+|\s+).{10,160}"
+TITLE = r"[А-ЯЁA-Z][^.!?…]{15,140}"
+CAPTION_AT_END = r"^(.+?[.!?…»”)])\s+(?:Рис|Илл|Табл)\.\s*\d+[а-яё]?(?:\s*[–—-]\s*\d+[а-яё]?)?(?:\s*,\s*\d+[а-яё]?)?\.\s+.{3,260}$"
 FIGURE_CAPTION = r"^(?:Рис|Илл|Табл)\.\s*\d+[а-яё]?(?:\s*[–—-]\s*\d+[а-яё]?)?(?:\s*,\s*\d+[а-яё]?)?\.\s+.{3,260}"
 
 
@@ -275,11 +288,120 @@ def split_caps_headings(x: Column) -> Column:
     return F.flatten(F.transform(x, one))
 
 
+def _longest(known: Column, line: Column, same: bool) -> Column:
+    """The longest of the known headings that the line begins with (or is); null if there is none."""
+    hits = F.filter(known, lambda h: line.startswith(F.concat(h, F.lit(" "))) | (F.lit(same) & (line == h)))
+    return F.array_max(F.transform(hits, lambda h: F.struct(F.length(h).alias("n"), h.alias("h"))))["h"]
+
+
+def _after(line: Column, head: Column) -> Column:
+    return strip(F.substr(line, F.length(head) + 1))
+
+
+def _heading_state(*lists: str) -> tuple[Column, str]:
+    kind = f"struct<{','.join(f'{n}:{STRINGS}' for n in lists)}>"
+    return F.struct(*[F.array().cast(STRINGS).alias(n) for n in lists]).cast(kind), kind
+
+
+def without_repeated_headings(x: Column) -> Column:
+    """Titles that are repeated at the start of later lines go from there; those before a figure's caption in any case."""
+    start, kind = _heading_state("out", "seen")
+
+    def merge(s: Column, raw: Column) -> Column:
+        def placed(line: Column) -> Column:
+            figure = has(line, FIGURE, "i")
+            bare = F.when(figure, sub(sub(line, SECTION_BEFORE_FIGURE, "", "i"), AUTHOR_BEFORE_FIGURE, "", "i")).otherwise(line)
+
+            def told(y: Column) -> Column:
+                head = _longest(s["seen"], y, False)
+                rest = _after(y, head)
+                z = F.when(head.isNotNull() & (rest != "") & (figure | ~is_heading(rest)), rest).otherwise(y)
+
+                def ended(w: Column) -> Column:
+                    title = ~figure & (F.length(w) <= 180) & (is_heading(w) | full(w, TITLE) | full(w, AUTHOR_TITLE))
+                    return F.struct(F.concat(s["out"], F.array(F.when(title, raw).otherwise(w))).alias("out"), F.when(title & ~F.array_contains(s["seen"], w), F.concat(s["seen"], F.array(w))).otherwise(s["seen"]).alias("seen")).cast(kind)
+
+                return let(z, ended)
+
+            return let(strip(bare), told)
+
+        return F.when(blank(raw), F.struct(F.concat(s["out"], F.array(raw)).alias("out"), s["seen"].alias("seen")).cast(kind)).otherwise(let(compact(raw), placed))
+
+    return F.aggregate(x, start, merge, lambda s: s["out"])
+
+
+def first_headings_only(x: Column) -> Column:
+    """A section heading that begins a line is a line of its own where it is first met, and goes wherever it comes again."""
+    start, kind = _heading_state("out", "seen", "keys")
+
+    def add(s: Column, more: Column, heading: Column | None = None, key: Column | None = None) -> Column:
+        grown = lambda name, v: F.concat(s[name], F.array(v)) if v is not None else s[name]
+        return F.struct(F.concat(s["out"], more).alias("out"), grown("seen", heading).alias("seen"), grown("keys", key).alias("keys")).cast(kind)
+
+    def merge(s: Column, raw: Column) -> Column:
+        line = strip(raw)
+        some = lambda t: F.filter(F.array(t), lambda y: y != "")
+
+        def fresh(label: Column, t: Column) -> Column:
+            n = F.coalesce(F.array_min(F.transform(t, lambda w, i: F.when(~is_heading_token(w), i))), F.size(t))
+            heading = strip(F.concat(strip(label), F.lit(" "), joined(F.slice(t, 1, n), " ")))
+            key = compact(sub(heading, SECTION_NUMBER, "$1 $2 "))
+            rest = joined(F.slice(t, n + 1, F.size(t)), " ")
+            new = add(s, F.concat(F.array(heading), some(rest)), heading, key)
+            return F.when((label == "") | (n == 0), add(s, F.array(raw))).when(F.array_contains(s["keys"], key), add(s, some(rest))).otherwise(new)
+
+        head = _longest(s["seen"], line, True)
+        label, body = (F.regexp_extract(line, "(?dU)" + LEADING_SECTION, g) for g in (1, 2))
+        return F.when(line == "", add(s, F.array(raw))).when(head.isNotNull(), add(s, some(_after(line, head)))).otherwise(let(tokens(body), lambda t: fresh(label, t)))
+
+    return F.when(F.exists(x, lambda y: has(strip(y), LEADING_SECTION)), F.aggregate(x, start, merge, lambda s: s["out"])).otherwise(x)
+
+
+def is_body_like(text: Column, before: Column) -> Column:
+    """Whether what stands after a caption reads like the text that it broke."""
+    x, n = compact(text), n_words(text)
+    told = has(x, CONTINUES) | has(x, BODY_CUE, "i") | (has(before, SOURCE_CUE, "i") & (n >= 6)) | ((F.length(x) >= 90) & (n >= 12)) | has(x, TERMINAL) | x.contains(". ")
+    return (F.length(x) >= 25) & (n >= 4) & has(x, BODY_START) & told
+
+
+def _cut_caption(line: Column) -> Column:
+    """What follows a caption that begins a line, from the first sentence that reads like body text; null if none does."""
+
+    def run(p: Column) -> Column:
+        head = lambda k: F.concat(joined(F.slice(p, 1, k), ". "), F.lit("."))
+        rest = lambda k: strip(joined(F.slice(p, k + 1, F.size(p)), ". "))
+        fits = lambda k: has(head(k), FIGURE_START, "i") & (n_words(head(k)) >= 4) & is_body_like(rest(k), head(k))
+        return F.when(F.size(p) > 1, let(F.get(F.filter(F.sequence(F.lit(1), F.size(p) - 1), fits), 0), lambda k: F.when(k.isNotNull(), rest(k))))
+
+    return F.when(has(line, "^" + FIGURE, "i"), let(F.split(line, "(?dU)" + SENTENCES), run))
+
+
 def without_captions(x: Column) -> Column:
-    """Bibliography headings go from lines, and lines that are figure captions go."""
-    made = F.transform(x, lambda y: F.when(blank(y), y).otherwise(strip(sub(compact(y), BIBLIOGRAPHY, "", "i"))))
-    several = lambda y: has(y, r"^(?:Рис|Илл|Табл)\.") & (count(y, r"(?:Рис|Илл|Табл)\.") >= 2)
-    return F.filter(made, lambda y: ~(full(y, FIGURE_CAPTION, "i") | several(y)))
+    """Captions at the start, inside and at the end of lines go, as do lines that are captions and bibliography headings."""
+
+    def inline(line: Column) -> Column:
+        at = F.regexp_instr(line, F.lit("(?dUi)(?<![(\\[])" + FIGURE))
+
+        def run(i: Column) -> Column:
+            head, tail = strip(F.substr(line, F.lit(1), i - 1)), strip(F.substr(line, i))
+            later = F.regexp_extract(tail, r"(?dU)^.*\.\s+([а-яё][а-яё-]{2,}.*)$", 1)
+            kept = F.coalesce(_cut_caption(tail), F.when(F.length(later) >= 12, later))
+            return F.when((i > 1) & ~has(line, r"^(?:Рис|Илл|Табл)\."), strip(compact(F.concat_ws(" ", head, kept)))).otherwise(line)
+
+        return let(at, run)
+
+    def one(line: Column) -> Column:
+        y = line
+        for _ in range(2):
+            y = let(y, lambda t: F.coalesce(_cut_caption(t), t))
+        y = let(let(y, inline), lambda t: F.coalesce(F.when(has(t, CAPTION_AT_END, "i"), F.regexp_extract(t, "(?dUi)" + CAPTION_AT_END, 1)), t))
+        return y
+
+    bare = F.transform(x, lambda y: F.when(blank(y), y).otherwise(strip(sub(compact(y), BIBLIOGRAPHY, "", "i"))))
+    told = lambda y: has(y, r"(?<![(\[])" + FIGURE, "i")
+    several = lambda y: has(y, r"^(?:Рис|Илл|Табл)\.") & (count(y, FIGURE) >= 2)
+    made = F.transform(bare, lambda y: F.when(told(y), one(y)).otherwise(y))
+    return F.filter(made, lambda y, i: ~(full(y, FIGURE_CAPTION, "i") | several(y) | ((y == "") & ~blank(F.get(x, i)))))
 
 
 def starts_paragraph(previous: Column, line: Column) -> Column:
@@ -310,7 +432,7 @@ def cleaned_documents(docs: DataFrame, text: str = "text", out: str = "clean_tex
     d = d.withColumn("removed_note_like", n("note_like")).withColumn("removed_reference_like", n("note_like", "reference_like"))
     d = d.withColumn("_l", F.transform(F.filter("_l", lambda s: s["why"].isNull()), lambda s: s["text"]))
     d = d.withColumn("_l", F.filter("_l", lambda y, i: (y != "") | ((i > 0) & (F.get(F.col("_l"), i - 1) != ""))))
-    for f in (without_intrusions, split_caps_headings, without_captions, restored_paragraphs):
+    for f in (without_intrusions, without_repeated_headings, first_headings_only, split_caps_headings, without_captions, restored_paragraphs):
         d = d.withColumn("_l", let(F.col("_l"), f))
     end = lambda t: sub(replaced_words(joined_splits(replaced_words(unhyphenated(t), COMPOUNDS)), JOINED), r"\n{2,}", "\n")
     return d.withColumn(out, let(strip(joined(F.col("_l"))), end)).drop("_t", "_l")

@@ -49,3 +49,20 @@ def test_intrusive_heading_and_back_matter(cleaned):
 
 def test_empty_documents(cleaned):
     assert cleaned(None).clean_text == "" and cleaned(" \n ").clean_text == ""
+
+
+def test_repeated_headings(spark):
+    d = spark.range(1).select(post_clean.first_headings_only(F.array(*[F.lit(x) for x in ("Глава 1 НАЧАЛО Первый текст.", "Глава 1 НАЧАЛО продолжается.", "Глава 2 ДАЛЬШЕ", "Глава 2 ДАЛЬШЕ")])).alias("x"))
+    assert d.first().x == ["Глава 1 НАЧАЛО", "Первый текст.", "продолжается.", "Глава 2 ДАЛЬШЕ"]
+    lines = ("ПЛАНЫ ПАРАДОВ ГВАРДИИ", "текст идёт", "ПЛАНЫ ПАРАДОВ ГВАРДИИ продолжается текст", "Часть IV. Карты города Рис. 5. План")
+    d = spark.range(1).select(post_clean.without_repeated_headings(F.array(*[F.lit(x) for x in lines])).alias("x"))
+    assert d.first().x == ["ПЛАНЫ ПАРАДОВ ГВАРДИИ", "текст идёт", "продолжается текст", "Рис. 5. План"]
+
+
+def test_captions(spark):
+    lines = (
+        "Таким образом, Рис. 4. План крепости. ОР БАН. планы парадов показывают порядок войск на плацу.", "Рис. 1. Вид города. Исследования показывают, что здесь были стены.", "Обычный текст строки. Табл. 2. Состав полка",
+        "Как видно (рис. 3 и 4), всё просто.", "Илл. 7. Просто подпись", "Рис. 1. Один. Рис. 2. Два", "Список литературы",
+    )
+    got = spark.range(1).select(post_clean.without_captions(F.array(*[F.lit(x) for x in lines])).alias("x")).first().x
+    assert got == ["Таким образом, планы парадов показывают порядок войск на плацу.", "Исследования показывают, что здесь были стены.", "Обычный текст строки.", "Как видно (рис. 3 и 4), всё просто."]
