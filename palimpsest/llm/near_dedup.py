@@ -17,11 +17,8 @@ BANDS, ROWS = 32, 4
 K = BANDS * ROWS
 #: Members of a bucket up to which each is compared with each.
 SMALL = 8
-#: Buckets with more members are split by each of so many following bands, too.
-SPLITS = 3
-#: Members of a split bucket that is still large with which all others are compared.
-LEADERS = 3
-
+#: Members of larger buckets are compared with a leader, the least by one of so many hashes of the node, band by band.
+ORDERS = 8
 #: Stands for a missing doc_id.
 LOWEST = -(2**63)
 _DART = np.uint64(0x9E3779B97F4A7C15)
@@ -163,29 +160,23 @@ def shingled(texts: DataFrame) -> DataFrame:
 def candidates(bands: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes, a < b, to be compared, from (node, bands). Their number grows with the nodes, whatever the buckets' sizes.
 
-    In buckets of up to SMALL members, each pair. Larger buckets are split by the keys of the SPLITS following bands;
-    of those that are still large, whose members agree in two bands at least, each member is compared with LEADERS
-    members. Leaders are the least by a hash of the node alone, so that overlapping buckets have the same ones.
+    In buckets of up to SMALL members, each pair. In larger ones each member with the bucket's leader; besides, these are
+    split by the next band's key, and the parts treated in the same way. Leaders are the least by a hash of the node
+    and the band's number modulo ORDERS, so that overlapping buckets share leaders, but not always the same.
     """
-    keys = bands.select("node", F.posexplode("bands").alias("i", "key"))
+    pair = F.transform("bands", lambda k, i: F.struct(k.alias("key"), F.xxhash64(k, F.get(F.col("bands"), (i + 1) % F.size("bands"))).alias("next")))
+    keys = bands.select("node", F.posexplode(pair).alias("i", "k")).select("node", "i", "k.key", "k.next")
     sized = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(keys.join(sized, "key"), "buckets")
-    following = F.explode(F.transform(F.sequence(F.lit(1), F.lit(SPLITS)), lambda j: F.xxhash64("key", F.get("bands", (F.col("i") + j) % BANDS))))
-    split = shared.where(F.col("n") > SMALL).join(bands, "node").select("node", following.alias("key"))
-    split_sized = split.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    split = split.join(split_sized, "key")
+    large = shared.where(F.col("n") > SMALL)
+    split = large.select("node", "i", F.col("next").alias("key"))
+    split = split.join(split.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
     few = shared.where(F.col("n") <= SMALL).select("node", "key").unionByName(split.where(F.col("n") <= SMALL).select("node", "key"))
     members = few.groupBy("key").agg(F.collect_list("node").alias("m"))
     pairs = members.select(F.explode("m").alias("a"), "m").select("a", F.explode("m").alias("b")).where("a < b")
-    many = split.where(F.col("n") > SMALL).select("node", "key")
-    order = F.struct(F.xxhash64("node").alias("h"), "node")
-    leaders = many.groupBy("key").agg(F.min(order).alias("l1"))
-    for rank in range(2, LEADERS + 1):
-        above = many.join(leaders, "key").where(order > F.col(f"l{rank - 1}")).groupBy("key").agg(F.min(order).alias(f"l{rank}"))
-        leaders = leaders.join(above, "key", "left")
-    leaders = leaders.select("key", F.array_compact(F.array(*[F.col(f"l{i}.node") for i in range(1, LEADERS + 1)])).alias("l"))
-    starred = many.join(leaders, "key").select("node", F.explode("l").alias("leader")).where("node <> leader")
-    starred = starred.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    many = large.select("node", "i", "key").unionByName(split.where(F.col("n") > SMALL).select("node", "i", "key"))
+    leaders = many.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.col("i") % ORDERS).alias("h"), F.col("node").alias("leader"))).alias("l")).select("key", "l.leader")
+    starred = many.join(leaders, "key").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     return pairs.unionByName(starred).distinct()
 
 
@@ -196,11 +187,13 @@ def resembles(a: Column, b: Column, least: float = SIMILARITY) -> Column:
     return bounded & (common >= least * (F.size(a) + F.size(b) - common))
 
 
-def linked(texts: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs that are similar, by their whole shingle multisets."""
+def linked(nodes: DataFrame, firsts: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs that are similar, by their whole shingle multisets. nodes has the texts, firsts the first node of each text."""
     pairs = written(pairs, "pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    items = written(shingled(texts.join(asked, "node", "left_semi")), "shingles")
+    asked = firsts.select(F.col("first").alias("node"), "copy").join(asked, "node", "left_semi")
+    # the only time that texts are dealt out
+    items = written(shingled(nodes.join(asked.hint("merge"), ["node", "copy"], "left_semi")), "shingles")
     left, right = (items.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b").distinct()
@@ -239,8 +232,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     firsts = signed.groupBy("copy").agg(F.min("node").alias("first"))
     alone = written(signed.dropDuplicates(["node", "copy"]).join(firsts, "copy").where("node = first").select("node", "bands"), "texts")
     pairs = candidates(alone)
-    unique = nodes.join(firsts.select(F.col("first").alias("node"), "copy"), ["node", "copy"], "left_semi").select("node", "text")
-    found = written(components(linked(unique, pairs, least)), "classes")
+    found = written(components(linked(nodes, firsts, pairs, least)), "classes")
     member = signed.select("node", "copy").join(firsts, "copy").join(found.withColumnRenamed("node", "first"), "first", "left")
     given = lambda c: F.when(F.col(c) > LOWEST, F.col(c))
     out = member.select("node", F.coalesce("root", "first").alias("class"))
