@@ -34,7 +34,7 @@ RULES = (
     Rule("word_length", "mean_word_chars", least=2.5, most=12.0),
     Rule("symbols", "symbols_per_word", most=0.1),
     Rule("stop_words", "stop_word_share", least=0.02),
-    Rule("duplicate_lines", "duplicate_line_share", most=0.3),
+    Rule("duplicate_lines", "duplicate_line_share", most=0.6),
     Rule("repeated_words", "repeated_word_share", most=0.5),
     Rule("capitals", "capital_share", most=0.4),
     Rule("letters", "letter_word_share", least=0.7),
