@@ -53,15 +53,18 @@ def arrival(share: Column, slope: Column) -> Column:
     return F.when(slope == 0, share).otherwise(root)
 
 
-def plan(docs: DataFrame) -> DataFrame:
+def plan(docs: DataFrame, once: bool = False) -> DataFrame:
     """How often the mix takes each document, and the times at which it is due.
 
     Documents of a source stand in the order of md5('mix:' + doc_id), then size. Of its target, each source first takes
     as many whole rounds of all its documents as fit, then documents in order as long as at least half of one fits into
     the rest. A document's first time is when the integral of its source's weight schedule reaches the sizes before it.
     Null texts have size 0 and are taken as often as others of their source; null sources are one source, null ids one id.
+    once: rows that repeat a doc_id count once.
     """
     d = docs.select("doc_id", "source", sizes(F.col("text")).alias("size"))
+    if once:
+        d = d.dropDuplicates(["doc_id"])
     d = d.withColumn("key", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     by_source = d.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
     s = targets(by_source).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("bigint"))
@@ -93,7 +96,7 @@ def dealt(docs: DataFrame) -> DataFrame:
 
     Rows are matched to their plan by doc_id; rows that repeat a doc_id must be alike, and count once.
     """
-    p = plan(docs.dropDuplicates(["doc_id"])).where("times > 0")
+    p = plan(docs, once=True).where("times > 0")
     again = F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1))
     p = p.select(F.col("doc_id").alias("_id"), "before", "source_size", "target", "slope", again.alias("_round"))
     due = arrival(F.least(F.lit(1.0), (F.col("before") + F.col("_round") * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))), F.col("slope"))
