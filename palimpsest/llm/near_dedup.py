@@ -19,6 +19,8 @@ K = BANDS * ROWS
 SMALL = 8
 #: Members of larger buckets are compared with a leader, the least by one of so many hashes of the node, band by band.
 ORDERS = 8
+#: Members of a block of a large bucket: blocks are compared two by two, so that no task gets a whole bucket.
+BLOCK = 512
 #: Stands for a missing doc_id.
 LOWEST = -(2**63)
 _DART = np.uint64(0x9E3779B97F4A7C15)
@@ -120,20 +122,30 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.uint64)).cast(pa.uint64()).view(pa.int64()))
 
 
+def least_matches(least: float, k: int = K) -> int:
+    """Of k coordinates, how many two texts of similarity `least` share but for once in some ten million times."""
+    return int(k * least - 5.5 * (k * least * (1 - least)) ** 0.5)
+
+
 def banded(docs: DataFrame) -> DataFrame:
-    """(node, bands) of texts: the band keys, none for a text without words."""
+    """(node, copy, bands, sketch, size) of texts: the band keys, none for a text without words, a byte of each coordinate, and the shingles' number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[np.ndarray] = []
+            sketches: list[bytes] = []
+            sizes: list[int] = []
             for _, w in tokens.iter_words(batch.column(1)):
                 n = len(w.text_at) - 1
-                values, some = signatures(*elements(w), n)
+                text, item, weight = elements(w)
+                values, some = signatures(text, item, weight, n)
                 keys = band_keys(values)
                 rows += [keys[i] if some[i] else keys[i, :0] for i in range(n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists(rows)], ["node", "copy", "bands"])
+                sketches += [x.tobytes() for x in (values >> np.uint64(56)).astype(np.uint8)]
+                sizes += np.bincount(text, weight, n).astype(np.int64).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists(rows), pa.array(sketches, pa.binary()), pa.array(sizes, pa.int64())], ["node", "copy", "bands", "sketch", "size"])
 
-    return docs.select("node", "text", "copy").mapInArrow(run, "node bigint, copy string, bands array<bigint>")
+    return docs.select("node", "text", "copy").mapInArrow(run, "node bigint, copy string, bands array<bigint>, sketch binary, size bigint")
 
 
 def shingled(texts: DataFrame) -> DataFrame:
@@ -157,17 +169,22 @@ def shingled(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, items array<bigint>")
 
 
-def candidates(bands: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes, a < b, to be compared, from (node, bands). Their number grows with the nodes, whatever the buckets' sizes.
+def buckets(bands: DataFrame) -> DataFrame:
+    """(node, i, key, next, n): the buckets of more than one node, by band i, with the next band's key and the bucket's size."""
+    pair = F.transform("bands", lambda k, i: F.struct(k.alias("key"), F.xxhash64(k, F.get(F.col("bands"), (i + 1) % F.size("bands"))).alias("next")))
+    keys = bands.select("node", F.posexplode(pair).alias("i", "k")).select("node", "i", "k.key", "k.next")
+    sized = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return written(keys.join(sized, "key"), "buckets")
+
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes, a < b, to be compared first, from buckets. Their number grows with the nodes, whatever the buckets' sizes.
 
     In buckets of up to SMALL members, each pair. In larger ones each member with the bucket's leader; besides, these are
     split by the next band's key, and the parts treated in the same way. Leaders are the least by a hash of the node
-    and the band's number modulo ORDERS, so that overlapping buckets share leaders, but not always the same.
+    and the band's number modulo ORDERS, so that overlapping buckets share leaders, but not always the same. What this
+    leaves of larger buckets is left to crossing().
     """
-    pair = F.transform("bands", lambda k, i: F.struct(k.alias("key"), F.xxhash64(k, F.get(F.col("bands"), (i + 1) % F.size("bands"))).alias("next")))
-    keys = bands.select("node", F.posexplode(pair).alias("i", "k")).select("node", "i", "k.key", "k.next")
-    sized = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keys.join(sized, "key"), "buckets")
     large = shared.where(F.col("n") > SMALL)
     split = large.select("node", "i", F.col("next").alias("key"))
     split = split.join(split.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
@@ -187,13 +204,50 @@ def resembles(a: Column, b: Column, least: float = SIMILARITY) -> Column:
     return bounded & (common >= least * (F.size(a) + F.size(b) - common))
 
 
-def linked(nodes: DataFrame, firsts: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs that are similar, by their whole shingle multisets. nodes has the texts, firsts the first node of each text."""
-    pairs = written(pairs, "pairs")
+def crossing(shared: DataFrame, bands: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes, a < b, that meet in a bucket of more than SMALL members: all that candidates() may have left.
+
+    A pair counts in the first band that it shares; where that bucket is small, it was compared. Pairs go whose sizes or
+    whose sketches rule `least` out. Buckets are cut into blocks, and each two blocks are compared on their own.
+    """
+    enough = least_matches(least)
+    large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node")
+    large = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = large.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("key")
+    members = large.join(mixed, "key").join(bands, "node")
+    members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = members.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "i", "block", "node", "root", "size", "bands", "sketch")
+
+    def compare(t: pa.Table) -> pa.Table:
+        node, root, size, block = (t[c].to_numpy() for c in ("node", "root", "size", "block"))
+        i, p, q = (t[c][0].as_py() for c in ("i", "p", "q"))
+        keys = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :i]
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x in left.tolist():
+            y = right[(root[right] != root[x]) & (np.minimum(size[right], size[x]) >= least * np.maximum(size[right], size[x]))]
+            y = y[node[y] > node[x]] if p == q else y
+            y = y[(sketch[y] == sketch[x]).sum(1) >= enough]
+            y = y[~(keys[y] == keys[x]).any(1)]
+            found_a.append(np.minimum(node[y], node[x]))
+            found_b.append(np.maximum(node[y], node[x]))
+        return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+
+    return cells.groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
+
+
+def shingles_of(nodes: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The shingles of the nodes in pairs. nodes has the texts, firsts the first node of each text."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = firsts.select(F.col("first").alias("node"), "copy").join(asked, "node", "left_semi")
     # the only time that texts are dealt out
-    items = written(shingled(nodes.join(asked.hint("merge"), ["node", "copy"], "left_semi")), "shingles")
+    return written(shingled(nodes.join(asked.hint("merge"), ["node", "copy"], "left_semi")), "shingles")
+
+
+def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs that are similar, by their whole shingle multisets."""
     left, right = (items.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b").distinct()
@@ -230,9 +284,15 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     nodes = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("node"), text.alias("text"), F.concat(F.md5(text), F.hex(F.xxhash64(text))).alias("copy"))
     signed = written(banded(nodes), "bands")
     firsts = signed.groupBy("copy").agg(F.min("node").alias("first"))
-    alone = written(signed.dropDuplicates(["node", "copy"]).join(firsts, "copy").where("node = first").select("node", "bands"), "texts")
-    pairs = candidates(alone)
-    found = written(components(linked(nodes, firsts, pairs, least)), "classes")
+    alone = written(signed.dropDuplicates(["node", "copy"]).join(firsts, "copy").where("node = first").select("node", "bands", "sketch", "size"), "texts")
+    shared = buckets(alone)
+    pairs = written(candidates(shared), "pairs")
+    items = shingles_of(nodes, firsts, pairs)
+    found = written(components(linked(items, pairs, least)), "classes")
+    # each node of a large bucket was compared with a leader, so that its shingles are there
+    more = written(linked(items, written(crossing(shared, alone, found, least), "crossing"), least), "links")
+    if not more.isEmpty():
+        found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "classes")
     member = signed.select("node", "copy").join(firsts, "copy").join(found.withColumnRenamed("node", "first"), "first", "left")
     given = lambda c: F.when(F.col(c) > LOWEST, F.col(c))
     out = member.select("node", F.coalesce("root", "first").alias("class"))

@@ -249,3 +249,17 @@ def test_pipeline_runs_in_order(spark, tmp_path):
         left.append({x.doc_id for x in docs.select("doc_id").collect()})
     assert left[0] == left[1] == set(range(62)) and left[2] == set(range(60)) and left[3] <= left[2] and left[4] == left[3]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_links_below_every_leader_are_found(spark):
+    r = random.Random(31)
+    shared = prose(r, 400)
+    own = lambda k, n: " ".join(f"own{k}x{j}" for j in range(n))
+    texts = [f"{shared} {own(k, 52)}" for k in range(300)]  # each two at 0.79
+    for k in range(0, 300, 4):  # pairs at about 0.82, below 0.8 to all others
+        texts[k + 1] = f"{shared} {own(k, 13)} {own(k + 1, 39)}"
+    want = expected(texts)
+    assert len(set(want)) == 225
+    d = spark.createDataFrame(table(texts), SCHEMA).repartition(3)
+    got = {x.doc_id: x.class_id for x in near_dedup.classes(d).collect()}
+    assert [got[i] for i in range(300)] == want
