@@ -237,10 +237,10 @@ def golden_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def golden_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    p = noise.pages(spark, sf_dir).withColumnRenamed("text", "raw").join(d.select("doc_id", F.substring("text", 1, 400).alias("expected")), "doc_id")
+    p = noise.pages(spark, sf_dir).withColumnRenamed("text", "raw").join(d.select("doc_id", F.col("text").alias("expected")), "doc_id")
     s = p.select(
         F.col("doc_id").cast("string").alias("sample_id"), F.lit("body_only").alias("expected_page_type"), F.when(F.col("doc_id") % 3 == 0, "notes_only").otherwise("body_only").alias("predicted_page_type"),
-        F.array(F.lit("the")).alias("keywords"), F.array(F.lit("RUNNING HEAD")).alias("protected_spans"), "raw", "expected", F.substring(N.spacing(F.col("raw")), 1, 400).alias("actual"),
+        F.array(F.lit("the")).alias("keywords"), F.array(F.lit("RUNNING HEAD")).alias("protected_spans"), "raw", "expected", N.spacing(F.col("raw")).alias("actual"),
     )
     return evaluation.summary(evaluation.evaluated(s))
 
