@@ -4,7 +4,7 @@ Level 1 lists the words by their 64-bit hashes; a word's place in it is its id.
 words that follow it, level 3 for each pair the ids that follow the pair. The ids of a level are kept as one monotone
 sequence, each raised by the number of contexts before its own times the vocabulary, and so are the pointers to where
 a context's successors begin. The levels are cut into shards by a hash of an n-gram's first two ids, which deals out hot
-words; each shard is a file. Smoothed probabilities are quantised to one byte.
+words; each shard is a file. Smoothed probabilities are quantised to two bytes.
 """
 
 from __future__ import annotations
@@ -353,8 +353,8 @@ class Shard:
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
-    """One byte for each probability: steps of log10, rounded towards the lesser probability."""
-    return np.minimum(255, np.ceil(-np.log10(np.maximum(p, 1e-300)) / STEP - 1e-9)).astype(np.uint8)
+    """Two bytes for each probability: steps of log10, rounded towards the lesser probability. They reach any quotient of counts."""
+    return np.ceil(-np.log10(np.maximum(p, 1e-300)) / STEP - 1e-9).astype(np.uint16)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -514,7 +514,7 @@ def text_scores(reader: Reader, w: tokens.Words) -> tuple[np.ndarray, np.ndarray
     return np.diff(at), tokens.text_sums((counts > 0).astype(np.int64), at), tokens.text_sums(np.log10(base), at), tokens.text_sums(np.log10(score), at)
 
 
-_POWER = 10.0 ** (-STEP * np.arange(256))
+_POWER = 10.0 ** (-STEP * np.arange(int(300 / STEP) + 1))
 
 
 def _end_id(reader: Reader) -> int:

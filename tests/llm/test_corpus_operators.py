@@ -263,3 +263,14 @@ def test_links_below_every_leader_are_found(spark):
     d = spark.createDataFrame(table(texts), SCHEMA).repartition(3)
     got = {x.doc_id: x.class_id for x in near_dedup.classes(d).collect()}
     assert [got[i] for i in range(300)] == want
+
+
+def test_no_probability_is_rounded_up():
+    p = np.array([1.0, 0.5, 1e-3, 4.3e-7, 4e-7, 1e-7, 2e-9, 1e-12, 1e-18])
+    code = ngram_trie.quantised(p)
+    got = ngram_trie._POWER[code]
+    assert (got <= p * (1 + 1e-8)).all() and (got >= p * 10 ** (-ngram_trie.STEP) * (1 - 1e-8)).all()
+    counts = np.append(np.ones(1_000_000), 2.4e8 - 1_000_000)  # the successors of a hot word
+    shares = counts / (2.4e8 + ngram_trie.prior(2, np.array([2.4e8])))
+    assert ngram_trie._POWER[ngram_trie.quantised(shares)].sum() <= shares.sum()
+    assert ngram_trie._POWER[ngram_trie.quantised(shares[:1])][0] <= shares[0]
