@@ -35,6 +35,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(even, " "), "")
 
 
+def digest(text: Column) -> Column:
+    """192 bits that stand for a text; a null text is an empty one."""
+    text = F.coalesce(text, F.lit(""))
+    return F.concat(F.md5(text), F.hex(F.xxhash64(text)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; set only where the session has none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, digest, table
 
 #: Times a document may be taken.
 MOST_EPOCHS = 3
@@ -60,12 +60,14 @@ def plan(docs: DataFrame, once: bool = False) -> DataFrame:
     as many whole rounds of all its documents as fit, then documents in order as long as at least half of one fits into
     the rest. A document's first time is when the integral of its source's weight schedule reaches the sizes before it.
     Null texts have size 0 and are taken as often as others of their source; null sources are one source, null ids one id.
-    once: rows that repeat a doc_id count once.
+    once: rows that repeat a doc_id and its text count once, a digest of the text (`copy`) tells others apart, and stands
+    for a null id.
     """
-    d = docs.select("doc_id", "source", sizes(F.col("text")).alias("size"))
+    copy = ["copy"] if once else []
+    d = docs.select("doc_id", "source", sizes(F.col("text")).alias("size"), *[digest(F.col("text")).alias(c) for c in copy])
     if once:
-        d = d.dropDuplicates(["doc_id"])
-    d = d.withColumn("key", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+        d = d.dropDuplicates(["doc_id", "copy"])
+    d = d.withColumn("key", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), *copy, F.lit("")))))
     by_source = d.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
     s = targets(by_source).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("bigint"))
     d = d.join(s.withColumnRenamed("source", "_source"), F.equal_null("source", "_source")).drop("_source")
@@ -75,14 +77,14 @@ def plan(docs: DataFrame, once: bool = False) -> DataFrame:
     blocks = blocks.withColumn("earlier", F.coalesce(F.sum("block_size").over(W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     blocks = blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "earlier")
     d = d.join(blocks, F.equal_null("source", "_source") & (F.col("block") == F.col("_block")))
-    inside = W.partitionBy("source", "block").orderBy("key", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "block").orderBy("key", "size", *copy).rowsBetween(W.unboundedPreceding, -1)
     d = d.withColumn("before", F.col("earlier") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     d = d.withColumn("rounds", rounds).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
     more = (F.col("rounds") < MOST_EPOCHS) & (2 * F.col("before") + F.col("size") <= 2 * F.col("rest")) & (F.col("rest") > 0)
     d = d.withColumn("times", F.col("rounds") + F.when(more, 1).otherwise(0))
     due = F.when((F.col("times") > 0) & (F.col("target") > 0), arrival(F.least(F.lit(1.0), F.col("before") / F.col("target")), F.col("slope")))
-    return d.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"), due.alias("due"), "before", "slope")
+    return d.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"), due.alias("due"), "before", "slope", *copy)
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -94,15 +96,16 @@ def mixed(docs: DataFrame) -> DataFrame:
 def dealt(docs: DataFrame) -> DataFrame:
     """The mix itself: the columns of docs, a row for each time that a document is taken, range-sorted by when it is due.
 
-    Rows are matched to their plan by doc_id; rows that repeat a doc_id must be alike, and count once.
+    Rows are matched to their plan by doc_id and text; rows that repeat both must be alike, and count once.
     """
     p = plan(docs, once=True).where("times > 0")
     again = F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1))
-    p = p.select(F.col("doc_id").alias("_id"), "before", "source_size", "target", "slope", again.alias("_round"))
+    p = p.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "before", "source_size", "target", "slope", again.alias("_round"))
     due = arrival(F.least(F.lit(1.0), (F.col("before") + F.col("_round") * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))), F.col("slope"))
-    p = p.select("_id", due.alias("_due"))
-    d = docs.dropDuplicates(["doc_id"])
-    return d.join(p, F.equal_null(d["doc_id"], p["_id"])).repartitionByRange("_due", "_id").sortWithinPartitions("_due", "_id").drop("_due", "_id")
+    p = p.select("_id", "_copy", due.alias("_due"))
+    d = docs.withColumn("_own", digest(F.col("text"))).dropDuplicates(["doc_id", "_own"])
+    d = d.join(p, F.equal_null(d["doc_id"], p["_id"]) & (d["_own"] == p["_copy"]))
+    return d.repartitionByRange("_due", "_id").sortWithinPartitions("_due", "_id", "_own").drop("_due", "_id", "_copy", "_own")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

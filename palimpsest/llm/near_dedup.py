@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import SHINGLE_WORDS, SIMILARITY, table, written
+from .common import SHINGLE_WORDS, SIMILARITY, digest, table, written
 
 #: 32 bands of 4 coordinates: two texts of similarity 0.8 share no band once in 20 million times.
 BANDS, ROWS = 32, 4
@@ -128,7 +128,7 @@ def least_matches(least: float, k: int = K) -> int:
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """(node, copy, bands, sketch, size) of texts: the band keys, none for a text without words, a byte of each coordinate, and the shingles' number."""
+    """(id, copy, bands, sketch, size) of texts: the band keys, none for a text without words, a byte of each coordinate, and the shingles' number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,9 +143,9 @@ def banded(docs: DataFrame) -> DataFrame:
                 rows += [keys[i] if some[i] else keys[i, :0] for i in range(n)]
                 sketches += [x.tobytes() for x in (values >> np.uint64(56)).astype(np.uint8)]
                 sizes += np.bincount(text, weight, n).astype(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists(rows), pa.array(sketches, pa.binary()), pa.array(sizes, pa.int64())], ["node", "copy", "bands", "sketch", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists(rows), pa.array(sketches, pa.binary()), pa.array(sizes, pa.int64())], ["id", "copy", "bands", "sketch", "size"])
 
-    return docs.select("node", "text", "copy").mapInArrow(run, "node bigint, copy string, bands array<bigint>, sketch binary, size bigint")
+    return docs.select("id", "text", "copy").mapInArrow(run, "id bigint, copy string, bands array<bigint>, sketch binary, size bigint")
 
 
 def shingled(texts: DataFrame) -> DataFrame:
@@ -238,12 +238,13 @@ def crossing(shared: DataFrame, bands: DataFrame, found: DataFrame, least: float
     return cells.groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
-def shingles_of(nodes: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The shingles of the nodes in pairs. nodes has the texts, firsts the first node of each text."""
+def shingles_of(rows: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The shingles of the nodes in pairs. rows has the texts, firsts the node and the first id of each text."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = firsts.select(F.col("first").alias("node"), "copy").join(asked, "node", "left_semi")
-    # the only time that texts are dealt out
-    return written(shingled(nodes.join(asked.hint("merge"), ["node", "copy"], "left_semi")), "shingles")
+    asked = firsts.join(asked, "node", "left_semi").select(F.col("first").alias("id"), "copy", "node")
+    # the only time that texts are dealt out; rows that repeat both id and text count once
+    texts = rows.join(asked.hint("merge"), ["id", "copy"]).dropDuplicates(["id", "copy"])
+    return written(shingled(texts), "shingles")
 
 
 def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -272,37 +273,53 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class) and kept (whether it is that) for each row of docs.
-
-    Texts are linked if the weighted Jaccard similarity of their five-word shingles is at least `least`; classes are
-    what links connect. Equal texts are in one class; null texts are empty ones. Texts without words match only equal
-    texts. Rows without doc_id keep a null doc_id and count as the lowest; rows that repeat a doc_id share its classes,
-    and one of rows with the same text and doc_id is kept by callers that need one.
-    """
-    text = F.coalesce("text", F.lit(""))
-    nodes = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("node"), text.alias("text"), F.concat(F.md5(text), F.hex(F.xxhash64(text))).alias("copy"))
-    signed = written(banded(nodes), "bands")
-    firsts = signed.groupBy("copy").agg(F.min("node").alias("first"))
-    alone = written(signed.dropDuplicates(["node", "copy"]).join(firsts, "copy").where("node = first").select("node", "bands", "sketch", "size"), "texts")
+def _members(docs: DataFrame, least: float) -> DataFrame:
+    """(id, copy, class_id, kept) for each row of docs: its doc_id or LOWEST, its text's digest, its class, and whether the class keeps it."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("id"), F.coalesce("text", F.lit("")).alias("text"), digest(F.col("text")).alias("copy"))
+    signed = written(banded(rows), "bands")
+    first = F.coalesce(F.min(F.when(F.col("id") > LOWEST, F.col("id"))), F.lit(LOWEST))
+    # a node is a text, numbered once
+    firsts = written(signed.groupBy("copy").agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id()), "firsts")
+    alone = signed.select("copy", "bands", "sketch", "size").dropDuplicates(["copy"])
+    alone = written(alone.join(firsts, "copy").select("node", "bands", "sketch", "size"), "texts")
     shared = buckets(alone)
     pairs = written(candidates(shared), "pairs")
-    items = shingles_of(nodes, firsts, pairs)
+    items = shingles_of(rows, firsts, pairs)
     found = written(components(linked(items, pairs, least)), "classes")
     # each node of a large bucket was compared with a leader, so that its shingles are there
     more = written(linked(items, written(crossing(shared, alone, found, least), "crossing"), least), "links")
     if not more.isEmpty():
         found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "classes")
-    member = signed.select("node", "copy").join(firsts, "copy").join(found.withColumnRenamed("node", "first"), "first", "left")
-    given = lambda c: F.when(F.col(c) > LOWEST, F.col(c))
-    out = member.select("node", F.coalesce("root", "first").alias("class"))
-    return out.select(given("node").alias("doc_id"), given("class").alias("class_id"), (F.col("node") == F.col("class")).alias("kept"))
+    texts = firsts.join(found, "node", "left").select("copy", "first", F.coalesce("root", "node").alias("root"))
+    heads = texts.groupBy("root").agg(F.min(F.struct((F.col("first") == LOWEST).alias("none"), "first", "copy")).alias("h"))
+    heads = written(heads.select("root", "h.none", F.col("h.first").alias("head"), F.col("h.copy").alias("head_copy")), "heads")
+    # a doc_id names one class; others that begin with it and those without any are named by a negative number
+    owners = heads.where("NOT none").groupBy("head").agg(F.min("head_copy").alias("owner"))
+    made = F.lit(-2) - F.xxhash64("head_copy").bitwiseAND(F.lit(2**62 - 1))
+    named = heads.where("NOT none").join(owners, "head").select("root", "head", "head_copy", F.when(F.col("head_copy") == F.col("owner"), F.col("head")).otherwise(made).alias("class_id"))
+    named = named.unionByName(heads.where("none").select("root", "head", "head_copy", made.alias("class_id")))
+    texts = texts.join(named, "root").select("copy", "head", "head_copy", "class_id")
+    out = signed.select("id", "copy").join(texts, "copy")
+    return out.select("id", "copy", "class_id", ((F.col("id") == F.col("head")) & (F.col("copy") == F.col("head_copy"))).alias("kept"))
+
+
+def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (the least doc_id of its class) and kept (whether it is that) for each row of docs.
+
+    Texts are linked if the weighted Jaccard similarity of their five-word shingles is at least `least`; classes are
+    what links connect. Equal texts are in one class; null texts are empty ones. Texts without words match only equal
+    texts. A doc_id joins no texts: rows without one, and rows that repeat one, are in the classes of their texts. A
+    class in which no row has a doc_id, or whose least doc_id is that of another class too, is named by a negative
+    number made of a text. Of rows with the same text and doc_id all are marked; one is kept by callers that need one.
+    """
+    return _members(docs, least).select(F.when(F.col("id") > LOWEST, F.col("id")).alias("doc_id"), "class_id", "kept")
 
 
 def kept(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The first document of each class, with its columns as they were; of rows with one doc_id, one."""
-    first = classes(docs, least).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(first, F.equal_null(docs["doc_id"], first["_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """The first document of each class, with its columns as they were; of rows with one doc_id and text, one."""
+    first = _members(docs, least).where("kept").select(F.when(F.col("id") > LOWEST, F.col("id")).alias("_id"), F.col("copy").alias("_first")).distinct()
+    own = docs.withColumn("_own", digest(F.col("text")))
+    return own.join(first, F.equal_null(own["doc_id"], first["_id"]) & (own["_own"] == first["_first"]), "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

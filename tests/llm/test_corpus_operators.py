@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from palimpsest.llm import near_dedup, ngram_trie, page_text, quality_trees, tokens
+from palimpsest.llm import mixing, near_dedup, ngram_trie, page_text, quality_trees, tokens
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, node bigint, copy string, key string, class string, x bigint"
 VOCABULARY = [f"word{i}" for i in range(400)]
@@ -274,3 +274,22 @@ def test_no_probability_is_rounded_up():
     shares = counts / (2.4e8 + ngram_trie.prior(2, np.array([2.4e8])))
     assert ngram_trie._POWER[ngram_trie.quantised(shares)].sum() <= shares.sum()
     assert ngram_trie._POWER[ngram_trie.quantised(shares[:1])][0] <= shares[0]
+
+
+def test_ids_join_no_texts(spark):
+    r = random.Random(41)
+    a, b, c, e = (prose(r, 80) for _ in range(4))
+    near = a.replace(a.split()[40], "changed", 1)
+    rows = table([a, b, b, near, c, e, c, e], [None, None, 4, 7, 7, None, 7, None])
+    d = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert similarity(multiset(a), multiset(near)) >= 0.8
+    of = {}
+    for x in near_dedup.classes(d).collect():
+        of.setdefault(x.class_id, []).append((x.doc_id, x.kept))
+    low = lambda group: sorted(group, key=str)
+    assert sorted(map(low, of.values()), key=str) == sorted(map(low, [[(None, False), (7, True)], [(None, False), (4, True)], [(7, True), (7, True)], [(None, True), (None, True)]]), key=str)
+    kept = near_dedup.kept(d)
+    assert kept.columns == d.columns
+    assert Counter((x.doc_id, x.text) for x in kept.collect()) == Counter([(7, near), (4, b), (7, c), (None, e)])
+    twice = spark.createDataFrame([(i, t, "s") for i, t in ((None, a), (None, c), (7, b), (7, e))], "doc_id bigint, text string, source string")
+    assert Counter(x.text for x in mixing.dealt(twice).collect()) == Counter([a, b, c, e])
