@@ -20,7 +20,7 @@ SMALL = 8
 #: Members of larger buckets are compared with a leader, the least by one of so many hashes of the node, band by band.
 ORDERS = 8
 #: Members of a block of a large bucket: blocks are compared two by two, so that no task gets a whole bucket.
-BLOCK = 512
+BLOCK = 1024
 #: Stands for a missing doc_id.
 LOWEST = -(2**63)
 _DART = np.uint64(0x9E3779B97F4A7C15)
@@ -204,56 +204,71 @@ def resembles(a: Column, b: Column, least: float = SIMILARITY) -> Column:
     return bounded & (common >= least * (F.size(a) + F.size(b) - common))
 
 
-def crossing(shared: DataFrame, bands: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of nodes of different classes, a < b, that meet in a bucket of more than SMALL members: all that candidates() may have left.
+def shingles_of(rows: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The shingles of the nodes in pairs. rows has the texts, firsts the node and the first id of each text."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = firsts.join(asked, "node", "left_semi").select(F.col("first").alias("id"), "copy", "node")
+    # the only time that texts are dealt out; rows that repeat both id and text count once
+    texts = rows.join(asked.hint("merge"), ["id", "copy"]).dropDuplicates(["id", "copy"])
+    return written(shingled(texts), "shingles")
+
+
+def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs that are similar, by their whole shingle multisets."""
+    left, right = (items.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b").distinct()
+
+
+def crossing(shared: DataFrame, bands: DataFrame, items: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that join what classes are still apart in buckets of more than SMALL members: all that candidates() may have left.
 
     A pair counts in the first band that it shares; where that bucket is small, it was compared. Pairs go whose sizes or
-    whose sketches rule `least` out. Buckets are cut into blocks, and each two blocks are compared on their own.
+    whose sketches rule `least` out; the others are compared by their whole shingle multisets, unless links of the same
+    block have joined them. Buckets are cut into blocks, each two blocks are compared on their own, and pairs are never rows.
     """
     enough = least_matches(least)
     large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node")
     large = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = large.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("key")
-    members = large.join(mixed, "key").join(bands, "node")
+    members = large.join(mixed, "key").join(bands, "node").join(items, "node")
     members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = members.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "i", "block", "node", "root", "size", "bands", "sketch")
+    cells = members.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "i", "block", "node", "root", "size", "bands", "sketch", "items")
 
     def compare(t: pa.Table) -> pa.Table:
         node, root, size, block = (t[c].to_numpy() for c in ("node", "root", "size", "block"))
+        root = root.copy()
         i, p, q = (t[c][0].as_py() for c in ("i", "p", "q"))
         keys = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :i]
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
         left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        lists = t["items"].combine_chunks()
+        at, kinds = lists.offsets.to_numpy() - lists.offsets[0].as_py(), np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+        mark = np.zeros(len(kinds) + 1, bool)
+        links: list[tuple[int, int]] = []
         for x in left.tolist():
             y = right[(root[right] != root[x]) & (np.minimum(size[right], size[x]) >= least * np.maximum(size[right], size[x]))]
             y = y[node[y] > node[x]] if p == q else y
             y = y[(sketch[y] == sketch[x]).sum(1) >= enough]
             y = y[~(keys[y] == keys[x]).any(1)]
-            found_a.append(np.minimum(node[y], node[x]))
-            found_b.append(np.maximum(node[y], node[x]))
-        return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+            if not len(y):
+                continue
+            own = kinds[at[x] : at[x + 1]]
+            mark[own] = True
+            for k in y.tolist():
+                if root[k] == root[x]:
+                    continue
+                common = np.count_nonzero(mark[kinds[at[k] : at[k + 1]]])
+                if common >= least * (size[x] + size[k] - common):
+                    links.append((int(node[x]), int(node[k])))
+                    root[root == root[k]] = root[x]
+            mark[own] = False
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return cells.groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
-def shingles_of(rows: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The shingles of the nodes in pairs. rows has the texts, firsts the node and the first id of each text."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = firsts.join(asked, "node", "left_semi").select(F.col("first").alias("id"), "copy", "node")
-    # the only time that texts are dealt out; rows that repeat both id and text count once
-    texts = rows.join(asked.hint("merge"), ["id", "copy"]).dropDuplicates(["id", "copy"])
-    return written(shingled(texts), "shingles")
-
-
-def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs that are similar, by their whole shingle multisets."""
-    left, right = (items.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b")
-    return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b").distinct()
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge: root is the least node of its component. Alternates large and small stars until nothing changes."""
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
@@ -287,7 +302,7 @@ def _members(docs: DataFrame, least: float) -> DataFrame:
     items = shingles_of(rows, firsts, pairs)
     found = written(components(linked(items, pairs, least)), "classes")
     # each node of a large bucket was compared with a leader, so that its shingles are there
-    more = written(linked(items, written(crossing(shared, alone, found, least), "crossing"), least), "links")
+    more = written(crossing(shared, alone, items, found, least), "links")
     if not more.isEmpty():
         found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "classes")
     texts = firsts.join(found, "node", "left").select("copy", "first", F.coalesce("root", "node").alias("root"))
