@@ -102,29 +102,33 @@ class Scanner:
         self.bounds = [(len(g) * least / (2 - least), len(g) * (2 - least) / least) for _, g in self.templates]
 
     def regions(self, grams: list[int], at: list[int], all_grams: np.ndarray) -> list[tuple[int, float, int, int]]:
-        """(template, dice, first word, last word) of the regions of one text; grams and at: its known bigrams and where they begin."""
+        """(template, dice, first word, last word) of all windows of one text that match; grams and at: its known bigrams and where they begin.
+
+        Windows begin and end at bigrams of the template, as others at an edge only lower the coefficient, and are of at
+        most as many bigrams as a set that matches can have."""
         places: dict[int, list[int]] = {}
         for g, i in zip(grams, at):
             for k in self.by_gram[g]:
                 places.setdefault(k, []).append(i)
         found = []
         for k, own in places.items():
-            name, template = self.templates[k]
+            _, template = self.templates[k]
             low, high = self.bounds[k]
-            gap = max(2, int(len(template) * (1 - self.least)) + 1)
-            if len(own) < self.least / 2 * (low + len(template)) - 1:
+            # what matches shares at least `low` bigrams with the template
+            need = max(1, int(np.ceil(low - 1e-9)))
+            if len(own) < need:
                 continue
-            start = 0
-            for j in range(1, len(own) + 1):
-                if j < len(own) and own[j] - own[j - 1] <= gap and own[j] - own[start] < high:
-                    continue
-                first, last = own[start], own[j - 1]
-                start = j
-                if last - first + 1 < low:
-                    continue
-                region = set(all_grams[first : last + 1].tolist())
-                if low <= len(region) <= high and (d := dice(region, template)) >= self.least:
-                    found.append((k, d, first, last + 1))
+            hits = np.array(own)
+            starts = hits[: len(hits) - need + 1]
+            for first in starts[hits[need - 1 :] - starts < high].tolist():
+                seen, common = set(), 0
+                for last, g in enumerate(all_grams[first : first + int(high)].tolist(), first):
+                    hit = g in template
+                    if g not in seen:
+                        seen.add(g)
+                        common += hit
+                    if hit and common >= need and (d := 2 * common / (len(seen) + len(template))) >= self.least:
+                        found.append((k, d, first, last + 1))
         return found
 
     def scan(self, texts: pa.Array) -> Iterator[list[Match]]:
@@ -142,8 +146,10 @@ class Scanner:
                 base = int(w.word_at[i])
                 found = self.regions(pair[own].tolist(), (own - base).tolist(), pair[base : int(w.word_at[i + 1])])
                 out: list[Match] = []
+                taken = bytearray(int(w.word_at[i + 1]) - base + 1)
                 for k, d, a, b in sorted(found, key=lambda x: (-x[1], x[2] - x[3], x[2], self.templates[x[0]][0])):
-                    if all(b < m.start or a > m.end for m in out):
+                    if taken.find(1, a, b + 1) < 0:
+                        taken[a : b + 1] = b"\1" * (b + 1 - a)
                         out.append(Match(self.templates[k][0], d, a, b))
                 yield out
 

@@ -228,3 +228,32 @@ def test_license_scan_equals_brute_force_over_regions():
     for name, template in license_scan.TEMPLATES:
         (found,) = scanner.scan(pa.array([f"lorem ipsum dolor {template.upper()} sit amet"]))
         assert found and found[0].dice == 1.0 and found[0].license == name
+
+
+def test_license_scan_equals_brute_force_over_all_windows():
+    of = dict(license_scan.TEMPLATES[2:4])
+    grant, two, three = license_scan.TEMPLATES[1][1], of["BSD-2-Clause"], of["BSD-3-Clause"]
+    cut = " ".join(grant.split()[:70])
+    texts = [f"{grant} {grant}", f"{two} {three}", f"some words {cut} {grant} and {license_scan.TEMPLATES[4][1]} {cut}"]
+
+    def brute(text):
+        w, every = text.split(), []
+        pairs = list(zip(w, w[1:]))
+        for name, t in license_scan.TEMPLATES[1:5]:
+            template = set(zip(t.split(), t.split()[1:]))
+            for a in range(len(pairs)):
+                seen = set()
+                for b in range(a, min(len(pairs), a + int(len(template) * 1.2 / 0.8))):
+                    seen.add(pairs[b])
+                    if 3 * len(seen) >= 2 * len(template) - 3 and (d := 2 * len(seen & template) / (len(seen) + len(template))) >= 0.8:
+                        every.append((-d, a - b - 1, a, name, b + 1))
+        out = []
+        for d, _, a, name, b in sorted(every):
+            if all(b < m[2] or a > m[3] for m in out):
+                out.append((name, -d, a, b))
+        return out
+
+    scanner = license_scan.Scanner(license_scan.TEMPLATES[1:5])
+    for text, n in zip(texts, (2, 2, 4)):
+        (found,) = scanner.scan(pa.array([text]))
+        assert [(m.license, m.dice, m.start, m.end) for m in found] == brute(text) and len(found) == n
