@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Callable
 
@@ -68,55 +67,77 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _place(key: Column, cuts: list) -> Column:
-    """How many of the ascending cuts are at most the key, found in two steps of about the square root of their number."""
-    if not cuts:
-        return F.lit(0)
-    step = math.isqrt(len(cuts) - 1) + 1
-    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    literal = lambda values: F.array(*[F.lit(v) for v in values])
-    passed = lambda values, k: F.size(F.filter(values, lambda c: c <= k))
-    inside = lambda b: F.when(b > 0, (b - 1) * step + passed(F.element_at(F.array(*map(literal, blocks)), F.greatest(b, F.lit(1))), key)).otherwise(0)
-    return let(passed(literal([b[0] for b in blocks]), key), inside).cast("int")
+#: Bytes of text in a range of an order, about, and ranges at most: what is broadcast about ranges is bounded by their number.
+RANGE_BYTES, MOST_RANGES = 32 << 20, 20_000
 
 
-def with_next(
-    df: DataFrame, key: str, carry: str, out: str, ring: bool = False, descending: bool = False, last: str | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
-    """Adds as `out` the value of `carry` in the next row in the order of `key` (null after the last, or the first row's in
-    a ring), and as `last`, if given, that in the row before (null before the first).
+def _place(key: Column, cuts: Column) -> Column:
+    """How many of the ascending cuts are at most the key, by halving."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
 
-    `key` holds no nulls; rows with equal keys follow each other in any order. The order is cut into ranges at sampled
-    keys, which decide only the balance; each range gets a copy of the first row of the next one (and the last of the one
-    before). `prepare`, which keeps rows and their `_range` and `_copy`, is run on the rows just before they are dealt out.
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["a"] + s["b"], 1)
+        above = F.struct((middle + 1).alias("a"), s["b"].alias("b"))
+        below = F.struct(s["a"].alias("a"), middle.alias("b"))
+        return F.when(s["a"] >= s["b"], s).when(F.get(cuts, middle) <= key, above).otherwise(below)
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("a"), F.size(cuts).alias("b")), halve, lambda s: s["a"])
+
+
+def ranged(df: DataFrame, key: str, size: str, around: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(df with its `_range` in the ascending order of `key`, a table of the `around` first and last keys of each range).
+
+    Ranges are those of a range partitioning of the keys alone, as many as `size` bytes of all rows ask for. Rows with
+    equal keys are in one range. The table (_range, place, key: place 1 is the first key, -1 the last) is in the shared
+    folder, so that all tasks, run again or not, see the same ranges.
     """
     spark = df.sparkSession
-    n = 2 * parts(spark)
-    draw = df.select(F.col(key).alias("k")).orderBy(F.xxhash64("k"), "k").limit(50 * n)
-    drawn = sorted(r.k for r in draw.collect())
-    cuts = sorted(set(drawn[:: max(1, len(drawn) // n)][1:]))
-    placed = df.withColumn("_range", _place(F.col(key), cuts))
-    edges = {r[0]: (r[1], r[2]) for r in placed.groupBy("_range").agg(F.min(key), F.max(key)).collect()}
-    order = sorted(edges, reverse=descending)
-    rows = placed.withColumn("_copy", F.lit(0))
-
-    def copies(to: dict[int, int], side: int, mark: int) -> DataFrame:
-        moved = F.create_map(*[F.lit(x) for b, a in to.items() for x in (b, a)])
-        at_edge = placed.where(F.col(key).isin([edges[b][side] for b in to]))
-        return at_edge.withColumn("_range", moved[F.col("_range")]).where("_range IS NOT NULL").withColumn("_copy", F.lit(mark))
-
-    before = {b: a for a, b in zip(order, order[1:])}
-    if ring and order:
-        before[order[0]] = order[-1]
-    if before:
-        rows = rows.unionByName(copies(before, 1 if descending else 0, 1))
-    if last and len(order) > 1:
-        rows = rows.unionByName(copies(dict(zip(order, order[1:])), 0 if descending else 1, -1))
-    if prepare:
-        rows = prepare(rows)
-    step = F.col(key).desc() if descending else F.col(key).asc()
-    w = W.partitionBy("_range").orderBy("_copy", step)
-    rows = rows.withColumn(out, F.lead(carry).over(w))
-    if last:
-        rows = rows.withColumn(last, F.lag(carry).over(w))
-    return rows.where("_copy = 0").drop("_copy", "_range")
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    n = min(MOST_RANGES, max(2 * parts(spark), -(-int(total) // RANGE_BYTES)))
+    keys = df.select(F.col(key).alias("key")).repartitionByRange(n, "key").withColumn("part", F.spark_partition_id())
+    own = W.partitionBy("part")
+    keys = keys.withColumn("place", F.dense_rank().over(own.orderBy("key"))).withColumn("back", F.dense_rank().over(own.orderBy(F.desc("key"))))
+    ends = keys.where((F.col("place") <= around) | (F.col("back") <= around)).dropDuplicates(["part", "key"])
+    ends = written(ends.select("part", "place", "back", "key"), "ranges")
+    lows = ends.where("place = 1").select(F.sort_array(F.collect_list("key")).alias("cuts"))
+    first = ends.where("place = 1").select("part", (F.dense_rank().over(W.orderBy("key")) - 1).alias("_range"))
+    ends = ends.join(F.broadcast(first), "part")
+    ends = ends.where(F.col("place") <= around).select("_range", "place", "key").unionByName(ends.where(F.col("back") <= around).select("_range", (-F.col("back")).alias("place"), "key"))
+    cut = df.withColumn("_cuts", lows.scalar())
+    return cut.withColumn("_range", (_place(F.col(key), F.col("_cuts")) - 1).cast("int")).drop("_cuts"), ends
+
+
+def with_next(df: DataFrame, key: str, size: str, prepare: Callable[[DataFrame], DataFrame], carry: Column, out: str) -> DataFrame:
+    """Adds as `out` the value of `carry` in the next row in the descending order of `key`; the last row gets the first row's.
+
+    Rows with equal keys must be alike. The order is cut into ranges; each gets a copy of the first row of the next one, so
+    that rows are dealt out once, by range. `prepare`, which adds columns, is run on the rows just before that.
+    """
+    rows, ends = ranged(df, key, size)
+    highs = ends.where("place = -1").select("_range", "key")
+    last = F.max("_range").over(W.partitionBy())
+    moves = highs.select(F.when(F.col("_range") == last, 0).otherwise(F.col("_range") + 1).alias("_to"), F.col("key").alias("_edge"))
+    copies = rows.join(F.broadcast(moves), F.col(key) == F.col("_edge")).withColumn("_range", F.col("_to")).drop("_to", "_edge").dropDuplicates(["_range"])
+    rows = prepare(rows.withColumn("_copy", F.lit(0)).unionByName(copies.withColumn("_copy", F.lit(1))))
+    order = W.partitionBy("_range").orderBy("_copy", F.col(key).desc())
+    return rows.withColumn(out, F.lead(carry).over(order)).where("_copy = 0").drop("_copy", "_range")
+
+
+def running(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """Adds sums of columns over all rows before a row in an order (sums: the column of each new one), and `_rank`, the number of those rows.
+
+    Rows are range-sorted; sums are taken within ranges and, in a table of one row for each range, over ranges, so that no
+    task gets more than a range or the row of each. df, which has no long columns, is written once.
+    """
+    n = min(MOST_RANGES, 2 * parts(df.sparkSession))
+    named = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    by = [F.col(f"_o{i}") for i in range(len(order))]
+    ranges = written(named.repartitionByRange(n, *[c.asc_nulls_first() for c in by]).withColumn("_part", F.spark_partition_id()), "ordered")
+    sums = sums | {"_rank": "_one"}
+    ranges = ranges.withColumn("_one", F.lit(1).cast("bigint"))
+    totals = ranges.groupBy("_part").agg(*[F.sum(c).alias(out) for out, c in sums.items()])
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select("_part", *[F.coalesce(F.sum(out).over(earlier), F.lit(0)).alias(f"_{out}") for out in sums])
+    before = W.partitionBy("_part").orderBy(*[c.asc_nulls_first() for c in by]).rowsBetween(W.unboundedPreceding, -1)
+    rows = ranges.select("*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(out) for out, c in sums.items()]).join(F.broadcast(totals), "_part")
+    return rows.select(*df.columns, *[(F.col(out) + F.col(f"_{out}")).alias(out) for out in sums])

@@ -77,13 +77,15 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many (or all) of the next
     document's in descending doc_id; the last document is followed by the first, and a lone one by itself. Null texts
     count as empty; an empty text has the fingerprint "", likeness 1 to another empty one and 0 to any other. Rows that
-    repeat a doc_id follow each other in any order; rows without doc_id count as the lowest. Other columns are not read.
+    repeat a doc_id follow each other by a hash of their texts; rows without doc_id count as the lowest. Other columns
+    are not read.
     """
     low = F.lit(-(2**63))
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", low).alias("_key"))
-    d = d.withColumn("_sketch", sketch(F.col("text"), k)).withColumn("_own", F.struct("text", "_sketch"))
-    d = with_next(d.select("doc_id", "_key", "_own"), "_key", "_own", "_next", ring=True, descending=True)
-    d = d.select("doc_id", F.col("_own.text").alias("text"), F.col("_own._sketch").alias("_sketch"), F.col("_next._sketch").alias("_after"), F.col("_next.text").alias("_text"))
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    d = d.withColumn("_key", F.struct(F.coalesce(F.col("doc_id").cast("bigint"), low).alias("id"), F.xxhash64("text").alias("h")))
+    sketched = lambda rows: rows.select("doc_id", "text", "_key", "_range", "_copy", sketch(F.col("text"), k).alias("_sketch"))
+    d = with_next(d.withColumn("_size", F.octet_length("text")), "_key", "_size", sketched, F.struct("text", "_sketch"), "_next")
+    d = d.select("doc_id", "text", "_sketch", F.col("_next._sketch").alias("_after"), F.col("_next.text").alias("_text"))
     n = F.length("text").cast("bigint")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), (n - half).cast("int")), F.substr("_text", F.lit(1), half))

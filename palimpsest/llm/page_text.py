@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter, deque
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table, with_next
+from .common import ranged, table
 
 #: Elements that start a block of their own.
 BLOCKS = set("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -29,12 +30,35 @@ NAMES = set(
     "header masthead topbar footer colophon copyright sidebar aside widget related recommended share sharing social cookie cookies consent notice notices alert popup modal "
     "newsletter subscribe subscription signup login search comment comments reply replies respond disqus".split()
 )
+#: Words that only place or shape what another word names (site-header, ad-slot), and those that name whose it is (post-comments).
+PLAIN = set("site page main top bottom left right global primary secondary list area section box container wrapper wrap block bar links link slot unit inner outer row item items group button buttons label text inline the".split())
+OWNERS = set("post article entry story user reader".split())
+OWN_PARTS = {"header", "footer", "banner", "masthead"}
 ARTICLE = {"article", "main"}
 _P_ENDS = BLOCKS - {"br", "button", "body", "html", "option"}
+_ITEMS = set("li dd dt tr td th option".split())
 _SPACE = re.compile(r"\s+")
-_END_OF_HOST = re.compile("[/\x01]")
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LINES = "array<struct<text:string,place:int>>"
+#: Pages before and after in the order of URLs that a page may be compared with, and how many of them it is.
+AROUND, COMPARED = 3, 2
+#: Two pages are the same article at two addresses if less than this share of the characters of one isn't in the other.
+SAME = 0.1
+
+
+def outside_name(names: str, article: bool) -> bool:
+    """Whether one of the names of a class or id attribute is, as a whole, that of a part which isn't main text.
+
+    Each word of the name must say so or add nothing to it: comment-list is such a name, comment-on-budget and
+    article-header aren't. Inside an article a header or footer is the article's own."""
+    for name in names.split():
+        words = {w.lower() for w in _WORD.findall(name)}
+        parts = words & NAMES
+        if article or words & OWNERS:
+            parts -= OWN_PARTS
+        if parts and words <= NAMES | PLAIN | OWNERS:
+            return True
+    return False
 
 
 class _Lines(HTMLParser):
@@ -46,6 +70,7 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int]] = []
         self.part: list[str] = []
         self.place = 1
+        self.count: Counter[str] = Counter()
 
     def _state(self) -> tuple[bool, bool, bool]:
         return self.open[-1][1:] if self.open else (False, False, False)
@@ -57,19 +82,20 @@ class _Lines(HTMLParser):
         self.part = []
 
     def _pop(self, k: int) -> None:
+        self.count.subtract(tag for tag, *_ in self.open[k:])
         del self.open[k:]
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self._end_line()
-        if tag in _P_ENDS:
+        if tag in _P_ENDS and self.count["p"]:
             for k in range(len(self.open) - 1, -1, -1):
                 if self.open[k][0] == "p":
                     self._pop(k)
                     break
                 if self.open[k][0] in BLOCKS:
                     break
-        if tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
+        if tag in _ITEMS and self.count[tag]:
             for k in range(len(self.open) - 1, -1, -1):
                 if self.open[k][0] == tag:
                     self._pop(k)
@@ -81,9 +107,9 @@ class _Lines(HTMLParser):
         unseen, outside, article = self._state()
         found = dict(attrs)
         # a header inside an article is the article's own
-        named = set(_WORD.findall(f"{found.get('class') or ''} {found.get('id') or ''}".lower()))
         outer = tag in OUTSIDE and not (tag in ("header", "footer") and article) or (found.get("role") or "").lower() in ROLES or "hidden" in found
-        outer |= tag not in ("html", "body", "article", "main") and bool(named & NAMES)
+        outer |= tag not in ("html", "body", "article", "main") and outside_name(f"{found.get('class') or ''} {found.get('id') or ''}", article)
+        self.count[tag] += 1
         self.open.append((tag, unseen or tag in UNSEEN, outside or outer, article or (tag in ARTICLE and not outside)))
 
     def handle_startendtag(self, tag, attrs):
@@ -94,6 +120,8 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._end_line()
+        if not self.count[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 self._pop(k)
@@ -120,19 +148,21 @@ def page_lines(text: str) -> list[tuple[str, int]]:
     return parser.lines
 
 
-def line_hash(line: str) -> int:
-    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-
-
-def shared(a: list[int], b: list[int]) -> set[int]:
+def shared(a: list, b: list) -> set[int]:
     """The indexes in a of a longest common subsequence of a and b (Hunt and Szymanski: by matching pairs, not by the product of lengths)."""
-    where: dict[int, list[int]] = {}
-    for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    where: dict[object, list[int]] = {}
+    for j in range(start, len(b) - end):
+        where.setdefault(b[j], []).append(j)
     tails: list[int] = []
     ends: list[tuple] = []
-    for i, x in enumerate(a):
-        for j in reversed(where.get(x, ())):
+    for i in range(start, len(a) - end):
+        for j in reversed(where.get(a[i], ())):
             k = bisect_left(tails, j)
             link = (i, ends[k - 1] if k else None)
             if k == len(tails):
@@ -140,19 +170,35 @@ def shared(a: list[int], b: list[int]) -> set[int]:
                 ends.append(link)
             else:
                 tails[k], ends[k] = j, link
-    out, link = set(), ends[-1] if ends else None
+    out, link = {*range(start), *range(len(a) - end, len(a))}, ends[-1] if ends else None
     while link:
         out.add(link[0])
         link = link[1]
     return out
 
 
-def main_text(lines: list[tuple[str, int]], other: list[int] | None) -> str:
-    """The text of a page without the lines that its neighbour (given as line hashes) has, too. Lines of marked menus and the like go in any
-    case; where the page marks its article, that is the text, and its lines stay though the neighbour may quote them."""
+def common_lines(own: list[str], others: Iterable[list[str]]) -> set[int]:
+    """The indexes of a page's lines that the first COMPARED of the others have, too; others that are the same page don't count."""
+    out: set[int] = set()
+    left = COMPARED
+    size = sum(map(len, own))
+    for other in others:
+        if not left:
+            break
+        found = shared(own, other)
+        common = sum(len(own[i]) for i in found)
+        if size - common < SAME * size or sum(map(len, other)) - common < SAME * sum(map(len, other)):
+            continue
+        out |= found
+        left -= 1
+    return out
+
+
+def main_text(lines: list[tuple[str, int]], common: set[int]) -> str:
+    """The text of a page without the lines that it has in common with its neighbours. Lines of marked menus and the like go in any case;
+    where the page marks its article, that is the text, and its lines stay though a neighbour may quote them."""
     marked = any(p == 2 for _, p in lines)
-    drop = shared([line_hash(t) for t, _ in lines], other) if other and not marked else set()
-    return "\n".join(t for i, (t, p) in enumerate(lines) if p == 2 or p == 1 and not marked and i not in drop)
+    return "\n".join(t for i, (t, p) in enumerate(lines) if p == 2 or p == 1 and not marked and i not in common)
 
 
 def location(url: Column) -> Column:
@@ -162,40 +208,78 @@ def location(url: Column) -> Column:
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of the main text of each row.
+    """page_id, url, text and n_chars of the main text of each row; n_common, its lines that neighbours have, too, and marked, whether it marks its article.
 
-    Pages stand in the order of host and path (then page_id); a page is paired with the one before or after it on its
-    host, whichever shares more of the path (the one after, on ties). Null html has no text; rows that repeat are pages.
+    Pages stand in the order of host and path (then page_id, then a hash of the html). A page is compared with COMPARED of
+    the AROUND pages before and after it on its host, those first that share more of the path (the later one, on ties);
+    pages that are the same article are passed over. Null html has no text; rows that repeat are pages.
     """
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    key = F.concat(location(F.col("url")), F.lit("\x01"), F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0"))
-
+    host = F.split(location(F.col("url")), "/")[0]
+    key = F.struct(host.alias("host"), location(F.col("url")).alias("path"), F.col("page_id").alias("id"), F.xxhash64("html").alias("h"))
+    rows, ends = ranged(p.withColumn("_key", key).withColumn("_size", F.octet_length("html")), "_key", "_size", AROUND)
+    # the AROUND keys next to each range: ends of the ranges that are as near
+    steps = F.explode(F.sequence(F.lit(1), F.lit(AROUND))).alias("step")
+    after = ends.where("place > 0").select("*", steps).select((F.col("_range") - F.col("step")).alias("to"), F.col("key"), F.row_number().over(W.partitionBy(F.col("_range") - F.col("step")).orderBy("key")).alias("near"))
+    before = ends.where("place < 0").select("*", steps).select((F.col("_range") + F.col("step")).alias("to"), F.col("key"), F.row_number().over(W.partitionBy(F.col("_range") + F.col("step")).orderBy(F.desc("key"))).alias("near"))
+    moves = after.unionByName(before).where(F.col("near") <= AROUND).select("to", F.col("key").alias("edge"))
+    copies = rows.join(F.broadcast(moves), F.col("_key") == F.col("edge")).withColumn("_range", F.col("to")).drop("to", "edge").dropDuplicates(["_range", "_key"])
+    rows = rows.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True))).select("page_id", "url", "html", "_range", "_copy", "_key")
     id_type = dict(p.dtypes)["page_id"]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32())]))
+        of_lines = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32())]))
         for batch in batches:
-            pages = [page_lines(h) for h in batch.column(2).to_pylist()]
-            lines = [[{"text": t, "place": q} for t, q in page] for page in pages]
-            marks = [{"key": k, "hashes": [line_hash(t) for t, _ in page]} for k, page in zip(batch.column(3).to_pylist(), pages)]
+            lines = [[{"text": t, "place": q} for t, q in page_lines(h)] for h in batch.column(2).to_pylist()]
             kept = [batch.column(i) for i in (0, 1, 3, 4, 5)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(lines, kind), pa.array(marks, pa.struct([("key", pa.string()), ("hashes", pa.list_(pa.int64()))]))], ["page_id", "url", "_key", "_range", "_copy", "_lines", "_mark"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(lines, of_lines)], ["page_id", "url", "_range", "_copy", "_key", "_lines"])
 
-    def read(rows: DataFrame) -> DataFrame:
-        rows = rows.select("page_id", "url", "html", "_key", "_range", "_copy")
-        return rows.mapInArrow(parse, f"page_id {id_type}, url string, _key string, _range int, _copy int, _lines {LINES}, _mark struct<key:string,hashes:array<bigint>>")
+    kind: list[pa.DataType] = []
+
+    def in_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+        """Each row that isn't a copy with its neighbours on its host, nearest path first; a few rows are held at a time."""
+        behind: deque[dict] = deque(maxlen=AROUND)
+        ahead: deque[dict] = deque()
+
+        def take(least: int) -> Iterator[tuple[dict, list[dict]]]:
+            while len(ahead) > least:
+                row = ahead.popleft()
+                near = [x for pair in zip([*ahead, *[None] * AROUND], [*reversed(behind), *[None] * AROUND]) for x in pair if x and x["host"] == row["host"]]
+                behind.append(row)
+                if not row["_copy"]:
+                    yield row, sorted(near, key=lambda x: -len(commonprefix([x["path"], row["path"]])))
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for lines, own, last, after in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
-                near = [x for x in (after, last) if x and _END_OF_HOST.split(x["key"], 1)[0] == _END_OF_HOST.split(own["key"], 1)[0]]
-                other = max(near, key=lambda x: len(commonprefix([x["key"], own["key"]])), default=None)
-                texts.append(main_text([(x["text"], x["place"]) for x in lines], other and other["hashes"]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    rows = with_next(p.withColumn("_key", key), "_key", "_mark", "_next", last="_last", prepare=read)
-    return rows.select("page_id", "url", "_lines", "_mark", "_last", "_next").mapInArrow(pair, f"page_id {id_type}, url string, text string, n_chars bigint")
+            kind[:] = [batch.schema.field(0).type]
+            for row in batch.to_pylist():
+                if ahead and ahead[-1]["_range"] != row["_range"]:
+                    yield from take(0)
+                    behind.clear()
+                row |= {"host": row["_key"]["host"], "path": row["_key"]["path"], "texts": [x["text"] for x in row["_lines"]]}
+                ahead.append(row)
+                yield from take(AROUND)
+        yield from take(0)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch() -> pa.RecordBatch:
+            ids, urls, texts, common, marked = zip(*held)
+            return pa.RecordBatch.from_arrays([pa.array(ids, kind[0]), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(common, pa.int64()), pa.array(marked, pa.bool_())], ["page_id", "url", "text", "n_chars", "n_common", "marked"])
+
+        held, size = [], 0
+        for row, near in in_ranges(batches):
+            lines = [(x["text"], x["place"]) for x in row["_lines"]]
+            common = common_lines(row["texts"], (x["texts"] for x in near))
+            held.append((row["page_id"], row["url"], main_text(lines, common), len(common), any(q == 2 for _, q in lines)))
+            size += len(held[-1][2])
+            if size > 1 << 22:
+                yield batch()
+                held, size = [], 0
+        if held:
+            yield batch()
+
+    rows = rows.mapInArrow(parse, f"page_id {id_type}, url string, _range int, _copy boolean, _key {dict(rows.dtypes)['_key']}, _lines {LINES}")
+    rows = rows.repartition("_range").sortWithinPartitions("_range", "_key")
+    return rows.mapInArrow(pair, f"page_id {id_type}, url string, text string, n_chars bigint, n_common bigint, marked boolean")
 
 
 def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
