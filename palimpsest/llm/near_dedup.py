@@ -21,6 +21,10 @@ SMALL = 8
 ORDERS = 8
 #: Members of a block of a large bucket: blocks are compared two by two, so that no task gets a whole bucket.
 BLOCK = 1024
+#: Keys of more than 1 / HOT_KEYS of all rows are fewer than that and may be broadcast; the rows of a key that is joined are dealt out to salts.
+HOT_KEYS, PER_SALT = 20_000, 256
+#: Rounds of stars until classes stand, at most; the number grows with the logarithm of the longest chain of links.
+ROUNDS = 64
 #: Stands for a missing doc_id.
 LOWEST = -(2**63)
 _DART = np.uint64(0x9E3779B97F4A7C15)
@@ -169,31 +173,53 @@ def shingled(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, items array<bigint>")
 
 
+def counted(rows: DataFrame, key: str, total: int, least: int = 2) -> DataFrame:
+    """rows with `n`, the number of rows of their key, where that is `least` or more.
+
+    A key with over 1 / HOT_KEYS of `total` rows, of which there are fewer than HOT_KEYS, is looked up where its rows are;
+    only the others' rows are dealt out by key."""
+    sizes = written(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= least), "sizes")
+    most = max(SMALL, total // HOT_KEYS)
+    hot = F.broadcast(sizes.where(F.col("n") > most))
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(sizes.where(F.col("n") <= most), key))
+
+
+def salted(rows: DataFrame, node: str) -> DataFrame:
+    """rows, which have `n`, with a `salt`: those of a key are dealt out to a salt for about PER_SALT of them."""
+    salts = F.ceil(F.col("n") / PER_SALT).cast("int")
+    return rows.withColumn("salt", F.pmod(F.xxhash64(node, F.lit(1)), salts).cast("int"))
+
+
+def for_salts(keys: DataFrame) -> DataFrame:
+    """keys, which have `n`, once for each salt."""
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / PER_SALT).cast("int") - 1)))
+
+
 def buckets(bands: DataFrame) -> DataFrame:
     """(node, i, key, next, n): the buckets of more than one node, by band i, with the next band's key and the bucket's size."""
     pair = F.transform("bands", lambda k, i: F.struct(k.alias("key"), F.xxhash64(k, F.get(F.col("bands"), (i + 1) % F.size("bands"))).alias("next")))
     keys = bands.select("node", F.posexplode(pair).alias("i", "k")).select("node", "i", "k.key", "k.next")
-    sized = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return written(keys.join(sized, "key"), "buckets")
+    return written(counted(keys, "key", BANDS * bands.count()), "buckets")
 
 
 def candidates(shared: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes, a < b, to be compared first, from buckets. Their number grows with the nodes, whatever the buckets' sizes.
+    """Pairs (a, b) of nodes to be compared first, from buckets. Their number grows with the nodes, whatever the buckets' sizes.
 
-    In buckets of up to SMALL members, each pair. In larger ones each member with the bucket's leader; besides, these are
-    split by the next band's key, and the parts treated in the same way. Leaders are the least by a hash of the node
-    and the band's number modulo ORDERS, so that overlapping buckets share leaders, but not always the same. What this
-    leaves of larger buckets is left to crossing().
+    In buckets of up to SMALL members, each pair, the lesser node as b. In larger ones each member a with the bucket's
+    leader b; besides, these are split by the next band's key, and the parts treated in the same way. Leaders are the
+    least by a hash of the node and the band's number modulo ORDERS, so that overlapping buckets share leaders, but not
+    always the same. What this leaves of larger buckets is left to crossing().
     """
-    large = shared.where(F.col("n") > SMALL)
+    large = shared.where(F.col("n") > SMALL).select("node", "i", "key", "next", "n")
     split = large.select("node", "i", F.col("next").alias("key"))
-    split = split.join(split.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    split = written(counted(split, "key", large.count()), "parts")
     few = shared.where(F.col("n") <= SMALL).select("node", "key").unionByName(split.where(F.col("n") <= SMALL).select("node", "key"))
     members = few.groupBy("key").agg(F.collect_list("node").alias("m"))
-    pairs = members.select(F.explode("m").alias("a"), "m").select("a", F.explode("m").alias("b")).where("a < b")
-    many = large.select("node", "i", "key").unionByName(split.where(F.col("n") > SMALL).select("node", "i", "key"))
-    leaders = many.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.col("i") % ORDERS).alias("h"), F.col("node").alias("leader"))).alias("l")).select("key", "l.leader")
-    starred = many.join(leaders, "key").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    pairs = members.select(F.explode("m").alias("a"), "m").select("a", F.explode("m").alias("b")).where("b < a")
+    many = large.select("node", "i", "key", "n").unionByName(split.where(F.col("n") > SMALL).select("node", "i", "key", "n"))
+    leaders = many.groupBy("key", "n").agg(F.min(F.struct(F.xxhash64("node", F.col("i") % ORDERS).alias("h"), F.col("node").alias("leader"))).alias("l"))
+    leaders = for_salts(leaders.select("key", "n", "l.leader")).drop("n")
+    starred = salted(many, "node").join(leaders, ["key", "salt"]).where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     return pairs.unionByName(starred).distinct()
 
 
@@ -204,52 +230,64 @@ def resembles(a: Column, b: Column, least: float = SIMILARITY) -> Column:
     return bounded & (common >= least * (F.size(a) + F.size(b) - common))
 
 
-def shingles_of(rows: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The shingles of the nodes in pairs. rows has the texts, firsts the node and the first id of each text."""
+def shingles_of(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The shingles of the nodes in pairs. rows has the texts, nodes the first id of each text."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = firsts.join(asked, "node", "left_semi").select(F.col("first").alias("id"), "copy", "node")
+    asked = nodes.join(asked, "node", "left_semi").select(F.col("first").alias("id"), "copy", "node")
     # the only time that texts are dealt out; rows that repeat both id and text count once
     texts = rows.join(asked.hint("merge"), ["id", "copy"]).dropDuplicates(["id", "copy"])
     return written(shingled(texts), "shingles")
 
 
 def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs that are similar, by their whole shingle multisets."""
-    left, right = (items.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b")
-    return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b").distinct()
+    """The pairs (a, b) that are similar, by their whole shingle multisets. The pairs of one b are dealt out by salts, to each of which
+    b's shingles go once."""
+    pairs = written(counted(pairs, "b", pairs.count(), 1), "counted")
+    items_of = lambda c: items.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items"))
+    b_items = for_salts(pairs.select("b", "n").distinct()).drop("n").join(items_of("b"), "b")
+    both = salted(pairs, "a").join(items_of("a"), "a").join(b_items, ["b", "salt"])
+    return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b")
 
 
-def crossing(shared: DataFrame, bands: DataFrame, items: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def crossing(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that join what classes are still apart in buckets of more than SMALL members: all that candidates() may have left.
 
-    A pair counts in the first band that it shares; where that bucket is small, it was compared. Pairs go whose sizes or
-    whose sketches rule `least` out; the others are compared by their whole shingle multisets, unless links of the same
-    block have joined them. Buckets are cut into blocks, each two blocks are compared on their own, and pairs are never rows.
+    Members outside a bucket's largest class are compared with all members. A pair counts in the first band that it
+    shares; where that bucket is small, it was compared. Pairs go whose sizes or whose sketches rule `least` out; the
+    others are compared by their whole shingle multisets, unless links of the same block have joined them. Both sides are
+    cut into blocks, each two blocks are compared on their own, and pairs are never rows.
     """
     enough = least_matches(least)
     large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node")
-    large = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = large.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("key")
-    members = large.join(mixed, "key").join(bands, "node").join(items, "node")
-    members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = members.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "i", "block", "node", "root", "size", "bands", "sketch", "items")
+    large = written(large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
+    by_class = large.groupBy("key", "root", "n").agg(F.count("*").alias("m"))
+    mixed = by_class.groupBy("key", "n").agg(F.max(F.struct("m", "root")).alias("top")).where("top.m < n")
+    mixed = for_salts(mixed).select("key", "salt", F.col("top.root").alias("top"), (F.col("n") - F.col("top.m")).alias("others"))
+    members = salted(large, "node").join(mixed, ["key", "salt"]).drop("salt")
+    members = members.join(texts.select("node", "size", "bands", "sketch"), "node").join(items, "node")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    side = ["i", "node", "root", "top", "size", "bands", "sketch", "items"]
+    left = members.where("root <> top").select("key", block(F.col("others")).alias("p"), every(F.col("n")).alias("q"), F.lit(True).alias("left"), *side)
+    right = members.select("key", every(F.col("others")).alias("p"), block(F.col("n")).alias("q"), F.lit(False).alias("left"), *side)
 
     def compare(t: pa.Table) -> pa.Table:
-        node, root, size, block = (t[c].to_numpy() for c in ("node", "root", "size", "block"))
+        node, root, size, is_left = (t[c].to_numpy() for c in ("node", "root", "size", "left"))
         root = root.copy()
-        i, p, q = (t[c][0].as_py() for c in ("i", "p", "q"))
+        i, top = t["i"][0].as_py(), t["top"][0].as_py()
+        outside = root != top
         keys = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)[:, :i]
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
-        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
         lists = t["items"].combine_chunks()
         at, kinds = lists.offsets.to_numpy() - lists.offsets[0].as_py(), np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
         mark = np.zeros(len(kinds) + 1, bool)
         links: list[tuple[int, int]] = []
-        for x in left.tolist():
+        right = np.flatnonzero(~is_left)
+        for x in np.flatnonzero(is_left).tolist():
             y = right[(root[right] != root[x]) & (np.minimum(size[right], size[x]) >= least * np.maximum(size[right], size[x]))]
-            y = y[node[y] > node[x]] if p == q else y
+            # two members outside the largest class meet twice
+            y = y[~outside[y] | (node[y] > node[x])]
             y = y[(sketch[y] == sketch[x]).sum(1) >= enough]
             y = y[~(keys[y] == keys[x]).any(1)]
             if not len(y):
@@ -266,26 +304,30 @@ def crossing(shared: DataFrame, bands: DataFrame, items: DataFrame, found: DataF
             mark[own] = False
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return cells.groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
+    return left.unionByName(right).groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge: root is the least node of its component. Alternates large and small stars until nothing changes."""
-    edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    seen = None
-    while True:
+def stars(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node with an edge that isn't the least of its component: alternates large and small stars until only stars are left."""
+    edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "edges")
+    for _ in range(ROUNDS):
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+        tangled = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count("*").alias("n")).where("ups > 1 OR ups = 1 AND n > 1")
+        if tangled.isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = written(small, "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
-    return edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+    raise RuntimeError(f"classes of near copies don't stand after {ROUNDS} rounds")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node with an edge: root is the least node of its component."""
+    found = stars(edges)
+    return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
 
 
 def _members(docs: DataFrame, least: float) -> DataFrame:
@@ -294,18 +336,17 @@ def _members(docs: DataFrame, least: float) -> DataFrame:
     signed = written(banded(rows), "bands")
     first = F.coalesce(F.min(F.when(F.col("id") > LOWEST, F.col("id"))), F.lit(LOWEST))
     # a node is a text, numbered once
-    firsts = written(signed.groupBy("copy").agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id()), "firsts")
-    alone = signed.select("copy", "bands", "sketch", "size").dropDuplicates(["copy"])
-    alone = written(alone.join(firsts, "copy").select("node", "bands", "sketch", "size"), "texts")
-    shared = buckets(alone)
+    texts = signed.groupBy("copy").agg(first.alias("first"), *[F.first(c).alias(c) for c in ("bands", "sketch", "size")])
+    texts = written(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+    shared = buckets(texts)
     pairs = written(candidates(shared), "pairs")
-    items = shingles_of(rows, firsts, pairs)
-    found = written(components(linked(items, pairs, least)), "classes")
+    items = shingles_of(rows, texts, pairs)
+    found = stars(linked(items, pairs, least))
     # each node of a large bucket was compared with a leader, so that its shingles are there
-    more = written(crossing(shared, alone, items, found, least), "links")
+    more = written(crossing(shared, texts, items, found, least), "links")
     if not more.isEmpty():
-        found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "classes")
-    texts = firsts.join(found, "node", "left").select("copy", "first", F.coalesce("root", "node").alias("root"))
+        found = stars(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    texts = texts.join(found, "node", "left").select("copy", "first", F.coalesce("root", "node").alias("root"))
     heads = texts.groupBy("root").agg(F.min(F.struct((F.col("first") == LOWEST).alias("none"), "first", "copy")).alias("h"))
     heads = written(heads.select("root", "h.none", F.col("h.first").alias("head"), F.col("h.copy").alias("head_copy")), "heads")
     # a doc_id names one class; others that begin with it and those without any are named by a negative number
