@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, digest, table
+from .common import WORD, digest, running, table, written
 
 #: Times a document may be taken.
 MOST_EPOCHS = 3
@@ -14,36 +13,31 @@ MOST_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 #: A source's weight at time t in [0, 1] is its target * (1 + slope * (2 * t - 1)), by its place in the order; the mean over time is its target.
 SLOPES = (-0.5, 0.0, 0.5)
-#: Documents in a block of a source: cumulative sizes are taken within blocks and over blocks, so that a source of any size is dealt out.
-BLOCK_ROWS = 1_000
-
 
 def sizes(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
 
 
 def targets(by_source: DataFrame) -> DataFrame:
-    """(source, n, source_size) with weight, slope and target: weights share all sizes, no target is above MOST_EPOCHS times its source.
+    """(source, n, source_size) with slope and target, and the sizes of the sources before each: weights share all sizes, no target is above MOST_EPOCHS times its source.
 
     The excess of capped sources is reshared by weight until none is above, which is water filling: with the sources
     by cap / weight ascending, a source is capped if its level cap / weight is at most what is left per weight.
     """
-    one = W.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(one) - 1) % len(WEIGHTS)
-    s = by_source.withColumn("place", place)
-    s = s.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), F.col("place") + 1).cast("bigint"))
-    s = s.withColumn("slope", F.element_at(F.array(*[F.lit(x) for x in SLOPES]), F.col("place") + 1))
-    s = s.withColumn("cap", F.col("source_size") * MOST_EPOCHS)
-    rising = W.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = rising.rowsBetween(W.unboundedPreceding, -1)
-    s = s.withColumn("left", F.sum("source_size").over(W.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-    s = s.withColumn("weights", F.sum("weight").over(W.partitionBy()) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    s = running(by_source, [F.col("source").isNull(), F.col("source")], {"first": "source_size"})
+    place = F.col("_rank") % len(WEIGHTS)
+    s = s.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), place.cast("int") + 1).cast("bigint"))
+    s = s.withColumn("slope", F.element_at(F.array(*[F.lit(x) for x in SLOPES]), place.cast("int") + 1))
+    s = s.withColumn("cap", F.col("source_size") * MOST_EPOCHS).drop("_rank")
+    s = running(s, [F.col("cap") / F.col("weight"), F.col("source").isNull(), F.col("source")], {"caps": "cap", "less": "weight"})
+    s = written(s, "sources")
+    whole = s.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    s = s.withColumn("left", F.lit(whole.size or 0) - F.col("caps")).withColumn("weights", F.lit(whole.weight or 0) - F.col("less"))
     # cap / weight <= left / weights, in whole numbers; the first that isn't capped sets the level
     s = s.withColumn("capped", F.col("cap").cast("decimal(38,0)") * F.col("weights") <= F.col("left").cast("decimal(38,0)") * F.col("weight"))
-    level = F.first(F.when(~F.col("capped"), F.struct("left", "weights")), ignorenulls=True).over(rising.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    s = s.withColumn("level", level)
-    shared = F.col("level.left") * F.col("weight") / F.col("level.weights")
-    return s.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(shared)).select("source", "n", "source_size", "slope", "target")
+    level = s.where(~F.col("capped")).agg(F.min(F.struct("_rank", "left", "weights")).alias("l")).first().l
+    shared = F.lit(level.left if level else 0) * F.col("weight") / F.lit(level.weights if level else 1)
+    return s.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(shared)).select("source", "n", "source_size", "first", "slope", "target")
 
 
 def arrival(share: Column, slope: Column) -> Column:
@@ -59,7 +53,8 @@ def plan(docs: DataFrame, once: bool = False) -> DataFrame:
     Documents of a source stand in the order of md5('mix:' + doc_id), then size. Of its target, each source first takes
     as many whole rounds of all its documents as fit, then documents in order as long as at least half of one fits into
     the rest. A document's first time is when the integral of its source's weight schedule reaches the sizes before it.
-    Null texts have size 0 and are taken as often as others of their source; null sources are one source, null ids one id.
+    Null texts have size 0 and are taken as often as others of their source; null sources are one source, null ids one id;
+    rows that repeat an id and a size stand in any order. Texts are read once; what follows is done on their sizes.
     once: rows that repeat a doc_id and its text count once, a digest of the text (`copy`) tells others apart, and stands
     for a null id.
     """
@@ -68,17 +63,12 @@ def plan(docs: DataFrame, once: bool = False) -> DataFrame:
     if once:
         d = d.dropDuplicates(["doc_id", "copy"])
     d = d.withColumn("key", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), *copy, F.lit("")))))
-    by_source = d.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
-    s = targets(by_source).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("bigint"))
-    d = d.join(s.withColumnRenamed("source", "_source"), F.equal_null("source", "_source")).drop("_source")
-    point = F.conv(F.substr("key", F.lit(1), F.lit(12)), 16, 10).cast("double") / F.lit(2.0**48)
-    d = d.withColumn("block", F.floor(point * F.col("blocks")))
-    blocks = d.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
-    blocks = blocks.withColumn("earlier", F.coalesce(F.sum("block_size").over(W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    blocks = blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "earlier")
-    d = d.join(blocks, F.equal_null("source", "_source") & (F.col("block") == F.col("_block")))
-    inside = W.partitionBy("source", "block").orderBy("key", "size", *copy).rowsBetween(W.unboundedPreceding, -1)
-    d = d.withColumn("before", F.col("earlier") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    d = written(d.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    s = targets(d.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")))
+    # one order of all documents, source by source: a source of any size is cut into ranges, and so are rows without id
+    d = running(d, [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("size"), *map(F.col, copy), F.col("row")], {"before": "size"})
+    d = d.join(s.drop("n").withColumnRenamed("source", "_source"), F.equal_null("source", "_source")).drop("_source")
+    d = d.withColumn("before", F.col("before") - F.col("first"))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     d = d.withColumn("rounds", rounds).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
     more = (F.col("rounds") < MOST_EPOCHS) & (2 * F.col("before") + F.col("size") <= 2 * F.col("rest")) & (F.col("rest") > 0)
