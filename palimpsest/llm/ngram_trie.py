@@ -176,8 +176,9 @@ def save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
 
 
 def mapped(folder: str, name: str) -> dict[str, np.ndarray]:
-    """The arrays of a file, mapped into memory; from a store, the file is fetched to the worker's temporary folder first."""
+    """The arrays of a file, mapped into memory; from a store, the file is first fetched to the worker's temporary folder, from which it goes when it is mapped."""
     path = _local(folder)
+    fetched = not path
     if path:
         path = f"{path}/{name}"
     else:
@@ -189,6 +190,9 @@ def mapped(folder: str, name: str) -> dict[str, np.ndarray]:
     with open(path, "rb") as f:
         head = f.readline()
     whole = np.memmap(path, np.uint8, "r")
+    if fetched:  # the mapping holds the file until the worker ends
+        os.unlink(path)
+        os.rmdir(os.path.dirname(path))
     return {k: whole[len(head) + at : len(head) + at + n * np.dtype(kind).itemsize].view(kind).view(np.ndarray) for k, (kind, n, at) in json.loads(head).items()}
 
 
@@ -279,6 +283,8 @@ def _vocabulary(texts: DataFrame, folder: str) -> Model:
     shard = F.shiftrightunsigned("h", 64 - bits)
     built = dict(tuple(r) for r in words.withColumn("shard", shard).groupBy("shard").applyInArrow(build, "shard bigint, n bigint").collect())
     offsets = np.concatenate([[0], np.cumsum([built.get(i, 0) for i in range(2**bits)])]).tolist()
+    if n_words >= 2**32 - 2:
+        raise OverflowError(f"{n_words} words are beyond ids of 32 bits")
     return Model(folder, bits, offsets, int(n_tokens), int(n_texts), max(1, -(-int(n_tokens) // SHARD_TOKENS)))
 
 
@@ -408,13 +414,26 @@ def _gram_blocks(model: Model, texts: Iterator[pa.Array], most: int = 1_500_000)
         yield from flush()
 
 
-def _levels(model: Model, reader: Reader, blocks: list[bytes], totals) -> dict[str, np.ndarray]:
-    parts = []
-    for block in blocks:
+class _Merged:
+    """Counted n-grams of one shard, merged as its blocks come: what is held grows with the different n-grams, not with the blocks."""
+
+    def __init__(self, shard: int):
+        self.shard, self.fresh, self.size, self.kinds = shard, [], 0, 0
+
+    def add(self, block: bytes) -> None:
         n = len(block) // 16
         u, v, w, c = (_unplanes(block[i * 4 * n : (i + 1) * 4 * n]) for i in range(4))
-        parts.append((_pairs(np.cumsum(u.astype(np.int64)), v), w.astype(np.uint64), c.astype(np.int64)))
-    uv, w, c = _summed(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
+        self.fresh.append((_pairs(np.cumsum(u.astype(np.int64)), v), w.astype(np.uint64), c.astype(np.int64)))
+        self.size += n
+        if self.size > max(1_000_000, 2 * self.kinds):
+            self.fresh = [self.all()]
+            self.size = self.kinds = len(self.fresh[0][0])
+
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _summed(*(np.concatenate([p[i] for p in self.fresh]) for i in range(3)))
+
+
+def _levels(model: Model, uv: np.ndarray, w: np.ndarray, c: np.ndarray, totals) -> dict[str, np.ndarray]:
     pair_at = tokens.run_starts(uv)
     pair, pair_count = uv[pair_at], np.add.reduceat(c, pair_at)
     owner = np.repeat(np.arange(len(pair)), np.diff(np.append(pair_at, len(uv))))
@@ -422,6 +441,8 @@ def _levels(model: Model, reader: Reader, blocks: list[bytes], totals) -> dict[s
     first_at = tokens.run_starts(u)
     context = np.repeat(np.arange(len(first_at)), np.diff(np.append(first_at, len(u))))
     size = np.uint64(model.universe)
+    if len(pair) * model.universe >= 2**64:
+        raise OverflowError(f"a shard of {len(pair)} pairs over {model.universe} words is beyond 64 bits: take more shards")
     real = w < np.uint64(model.n_words)
     thirds = (owner.astype(np.uint64) * size + w)[real]
     starts = np.searchsorted(owner[real], np.arange(len(pair) + 1))
@@ -465,15 +486,27 @@ def trained(texts: DataFrame, folder: str | None = None) -> Model:
         for shard, block in _gram_blocks(model, (b.column(0) for b in batches)):
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([block], pa.binary())], ["shard", "block"])
 
-    def build(t: pa.Table) -> pa.Table:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
-        shard = t["shard"][0].as_py()
-        arrays = _levels(model, reader, t["block"].to_pylist(), lambda ids: _counts_of_ids(reader, ids))
-        save(folder, f"grams-{shard}", arrays)
-        return pa.table({"shard": pa.array([shard], pa.int64()), "pairs": pa.array([len(arrays["p2"])], pa.int64()), "bytes": pa.array([sum(x.nbytes for x in arrays.values())], pa.int64())})
 
-    blocks = texts.mapInArrow(grams, "shard bigint, block binary")
-    blocks.groupBy("shard").applyInArrow(build, "shard bigint, pairs bigint, bytes bigint").agg(F.count("*"), F.sum("bytes")).collect()
+        def done(m: _Merged) -> pa.RecordBatch:
+            arrays = _levels(model, *m.all(), lambda ids: _counts_of_ids(reader, ids))
+            save(folder, f"grams-{m.shard}", arrays)
+            return pa.RecordBatch.from_arrays([pa.array([m.shard], pa.int64()), pa.array([len(arrays["p2"])], pa.int64()), pa.array([sum(x.nbytes for x in arrays.values())], pa.int64())], ["shard", "pairs", "bytes"])
+
+        merged = None
+        for batch in batches:
+            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if merged and merged.shard != shard:
+                    yield done(merged)
+                    merged = None
+                merged = merged or _Merged(shard)
+                merged.add(block.as_py())
+        if merged:
+            yield done(merged)
+
+    blocks = texts.mapInArrow(grams, "shard bigint, block binary").repartition("shard").sortWithinPartitions("shard")
+    blocks.mapInArrow(build, "shard bigint, pairs bigint, bytes bigint").agg(F.count("*"), F.sum("bytes")).collect()
     return model
 
 
