@@ -10,6 +10,10 @@ from .normalize import marks_spaced
 from .rx import blank, compact, count, first_of, full, has, joined, let, lines, lstrip, n_compact, n_words, rstrip, solid_lines, strip, sub, tally
 
 
+#: Least characters of a heading in capitals.
+HEADING_CHARS = 12
+
+
 def is_heading(line: Column) -> Column:
     return full(compact(line), P.HEADING)
 
@@ -41,13 +45,18 @@ def starts_apart(x: Column) -> Column:
     return has(x, P.BULLET_START) | has(x, P.FIGURE, "i")
 
 
-def continues(current: Column, following: Column) -> Column:
-    """Whether a line break between two lines of a paragraph is a false one."""
+def goes_on(current: Column, following: Column) -> Column:
+    """Whether a line break is a false one as far as the two lines that meet there tell."""
     a, b = strip(current), strip(following)
-    apart = starts_apart(b) | has(a, r"[.!?:;]\z") | (F.length(a) <= 2) | (F.length(b) <= 2) | is_heading(a) | has(b, r"^\p{Nd}") | full(a, "[A-ZА-ЯЁ]{4,}") | has(b, "^[A-ZА-ЯЁ]{3,}")
+    apart = starts_apart(b) | has(a, r"[.!?:;]\z") | (F.length(a) <= 2) | (F.length(b) <= 2) | has(b, r"^\p{Nd}") | full(a, "[A-ZА-ЯЁ]{4,}") | has(b, "^[A-ZА-ЯЁ]{3,}")
     return (a != "") & (b != "") & ~apart
 
 
+def continues(current: Column, following: Column) -> Column:
+    """Whether a line break between what was gathered of a paragraph and the next line is a false one."""
+    return goes_on(current, following) & ~is_heading(strip(current))
+
+
 def continues_short(current: Column, following: Column) -> Column:
     """Whether two short lines of a block are one."""
     a, b = strip(current), strip(following)

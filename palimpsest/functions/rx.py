@@ -90,6 +90,21 @@ def n_words(c: Column) -> Column:
     return F.size(F.array_remove(F.split(strip(F.coalesce(c, F.lit(""))), rx(r"\s+")), ""))
 
 
+def folded(array: Column, start: Column, kind: str, merge: Callable[[Column, Column], Column]) -> Column:
+    """All that merge() adds to the field `out` of a state (of type kind) over an array. Pieces of about the square root of its length are
+    folded one after the other, so that what a step copies stays small."""
+    size = F.ceil(F.sqrt(F.size(array))).cast("int")
+    pieces = F.transform(F.sequence(F.lit(1), F.size(array), size), lambda i: F.slice(array, i, size))
+    whole = f"struct<outs:array<{STRINGS}>,state:{kind}>"
+
+    def piece(s: Column, part: Column) -> Column:
+        done = F.aggregate(part, s["state"].withField("out", F.array().cast(STRINGS)).cast(kind), merge)
+        return let(done, lambda d: F.struct(F.concat(s["outs"], F.array(d["out"])).alias("outs"), d.alias("state")).cast(whole))
+
+    begin = F.struct(F.array().cast(f"array<{STRINGS}>").alias("outs"), start.alias("state")).cast(whole)
+    return F.when(F.size(array) > 0, F.aggregate(pieces, begin, piece, lambda s: F.flatten(s["outs"]))).otherwise(F.array().cast(STRINGS))
+
+
 def strings(*values: str) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast(STRINGS)
 

@@ -111,28 +111,63 @@ def hyphen_flags(t: Column) -> Column:
     return F.transform(hits, lambda m: flag("line_end_hyphenation_ambiguous", F.replace(m, F.lit("\n"), F.lit("\\n"))))
 
 
-def _folded(parts: Column, test: Callable[[Column, Column], Column], glue: Callable[[Column, Column], Column], rule: str) -> Column:
-    """Folds lines from the left: a line joins what has been gathered so far while the test holds. struct(out, edits)."""
-    kind = f"struct<out:{STRINGS},held:string,edits:{EDITS}>"
-    start = F.struct(F.array().cast(STRINGS).alias("out"), F.lit(None).cast("string").alias("held"), no_edits().alias("edits")).cast(kind)
-
-    def merge(s: Column, x: Column) -> Column:
-        both = F.struct(
-            s["out"].alias("out"), glue(s["held"], x).alias("held"),
-            F.concat(s["edits"], F.array(edit(rule, "normalize", F.concat(s["held"], F.lit("\\n"), x), glue(s["held"], x)))).alias("edits"),
-        ).cast(kind)
-        apart = F.struct(F.when(s["held"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["held"]))).alias("out"), x.alias("held"), s["edits"].alias("edits")).cast(kind)
-        return F.when(s["held"].isNotNull() & test(s["held"], x), both).otherwise(apart)
-
-    finish = lambda s: F.struct(F.when(s["held"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["held"]))).alias("out"), s["edits"].alias("edits"))
-    return F.aggregate(parts, start, merge, finish)
+def _parts(x: Column, flags: Column, made: Callable[[Column], Column], rule: str, glue: Callable[[Column, Column], Column]) -> Column:
+    """struct(out, edits): lines of which the i-th joins those before it where flags has a 1 at i. The evidence of an edit is the two
+    lines that meet, not all that was gathered before them, so that it grows with the text."""
+    starts = F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: F.substr(flags, i, F.lit(1)) == "0")
+    out = let(starts, lambda s: F.transform(s, lambda i, k: made(F.slice(x, i, F.coalesce(F.get(s, k + 1), F.size(x) + 1) - i))))
+    met = F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: F.substr(flags, i, F.lit(1)) == "1")
+    line = lambda i: F.get(x, i - 1)
+    edits = F.transform(met, lambda i: edit(rule, "normalize", F.concat(line(i - 1), F.lit("\\n"), line(i)), glue(line(i - 1), line(i))))
+    return F.when(F.size(x) > 0, F.struct(out.alias("out"), edits.cast(EDITS).alias("edits"))).otherwise(F.struct(F.array().cast(STRINGS).alias("out"), no_edits().alias("edits")))
 
 
 def paragraph_step(t: Column) -> Column:
+    """Lines go on a paragraph as long as L.continues() holds of what was gathered and the next line. Of what was gathered that test sees
+    its last line and, of lines in capitals, whether they are a heading together: the fold keeps only these."""
     glue = lambda a, b: F.concat(rstrip(a), F.lit(" "), F.regexp_replace(b, r"(?U)^\s+", ""))
+
+    def told(x: Column) -> Column:
+        capitals = lambda y: full(y, P.CAPITALS)
+        made = F.transform(x, lambda y, i: F.struct(
+            F.when(i > 0, L.goes_on(F.get(x, i - 1), y)).otherwise(F.lit(False)).alias("goes_on"), let(compact(y), lambda c: F.when(capitals(c), F.length(c)).otherwise(-1)).alias("n"),
+            let(compact(y), lambda c: F.when(capitals(sub(c, r"^[IVXLCDM]+\.\s+", "")), F.length(sub(c, r"^[IVXLCDM]+\.\s+", ""))).otherwise(-1)).alias("first"),
+        ))
+        kind = "struct<flags:string,n:int>"
+        start = F.struct(F.lit("").alias("flags"), F.lit(-1).alias("n")).cast(kind)
+
+        def add(s: Column, y: Column) -> Column:
+            both = F.when((s["n"] >= 0) & (y["n"] >= 0), s["n"] + 1 + y["n"]).otherwise(-1)
+            joins = y["goes_on"] & (s["n"] < L.HEADING_CHARS)
+            return F.struct(F.concat(s["flags"], F.when(joins, "1").otherwise("0")).alias("flags"), F.when(joins, both).otherwise(y["first"]).alias("n")).cast(kind)
+
+        return F.aggregate(made, start, add, lambda s: s["flags"])
+
+    def merged(x: Column) -> Column:
+        one = lambda g: F.when(F.size(g) == 1, F.get(g, 0)).otherwise(F.array_join(F.transform(g, lambda y, i: F.when(i > 0, F.regexp_replace(y, r"(?U)^\s+", "")).otherwise(y)), " "))
+        return let(let(told(x), lambda f: _parts(x, f, one, "fake_paragraph_breaks", glue)), lambda s: step(joined(s["out"]), s["edits"]))
+
     parts = F.transform(F.transform(lines(t), rstrip), lambda x: F.when(blank(x), F.lit("")).otherwise(x))
-    merged = let(_folded(parts, L.continues, glue, "fake_paragraph_breaks"), lambda s: step(joined(s["out"]), s["edits"]))
-    return F.when(t == "", step(t, no_edits())).otherwise(merged)
+    return F.when(t == "", step(t, no_edits())).otherwise(let(parts, merged))
+
+
+#: Of what was gathered of a block, so many characters at its end tell whether a short line goes on.
+SEEN_CHARS = 400
+
+
+def short_lines(x: Column) -> Column:
+    """Flags of the lines of a block that L.continues_short() joins to what was gathered before them."""
+    kind = "struct<flags:string,held:string>"
+    start = F.struct(F.lit("").alias("flags"), F.lit(None).cast("string").alias("held")).cast(kind)
+    # a letter in front stands for what was cut off: what is gathered is neither short nor noise
+    cut = lambda y: F.when(F.length(y) <= SEEN_CHARS, y).otherwise(F.concat(F.lit("a"), F.right(y, F.lit(SEEN_CHARS))))
+
+    def add(s: Column, y: Column) -> Column:
+        joins = s["held"].isNotNull() & F.coalesce(L.continues_short(s["held"], y), F.lit(False))
+        held = F.when(joins, cut(L.one_line(F.array(s["held"], y)))).when(L.is_noise(y), y).otherwise(cut(y))
+        return F.struct(F.concat(s["flags"], F.when(joins, "1").otherwise("0")).alias("flags"), held.alias("held")).cast(kind)
+
+    return F.aggregate(x, start, add, lambda s: s["flags"])
 
 
 def spacing_step(t: Column) -> Column:
@@ -158,7 +193,9 @@ def block_step(t: Column) -> Column:
 
     def one(x: Column) -> Column:
         made = let(flat(x), lambda y: step(y, F.when(y != joined(x), F.array(edit("short_block_reflow", "normalize", joined(F.slice(x, 1, 12), "\\n"), F.substring(y, 1, 240)))).otherwise(no_edits())))
-        merged = let(_folded(x, L.continues_short, lambda a, b: L.one_line(F.array(a, b)), "short_line_reflow"), lambda s: step(joined(s["out"]), s["edits"]))
+        together = lambda g: F.when(F.size(g) == 1, F.get(g, 0)).otherwise(L.one_line(g))
+        parts = let(short_lines(x), lambda f: _parts(x, f, together, "short_line_reflow", lambda a, b: L.one_line(F.array(a, b))))
+        merged = let(parts, lambda s: step(joined(s["out"]), s["edits"]))
         return F.when(L.is_flat_block(x), made).otherwise(merged)
 
     blocks = F.filter(F.transform(F.split(t, r"(?dU)\n\s*\n"), solid_lines), lambda x: F.size(x) > 0)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.rx import STRINGS, blank, compact, count, full, has, joined, let, lines, n_words, rstrip, solid_lines, strip, sub, tally
+from ..functions.rx import STRINGS, blank, compact, count, folded, full, has, joined, let, lines, n_words, rstrip, solid_lines, strip, sub, tally
 
 # Word pairs that keep their hyphen
 PAIRS = ("из-за", "из-под", "по-видимому", "по-прежнему", "во-первых", "во-вторых", "в-третьих")
@@ -327,7 +327,7 @@ def without_repeated_headings(x: Column) -> Column:
 
         return F.when(blank(raw), F.struct(F.concat(s["out"], F.array(raw)).alias("out"), s["seen"].alias("seen")).cast(kind)).otherwise(let(compact(raw), placed))
 
-    return F.aggregate(x, start, merge, lambda s: s["out"])
+    return folded(x, start, kind, merge)
 
 
 def first_headings_only(x: Column) -> Column:
@@ -354,7 +354,7 @@ def first_headings_only(x: Column) -> Column:
         label, body = (F.regexp_extract(line, "(?dU)" + LEADING_SECTION, g) for g in (1, 2))
         return F.when(line == "", add(s, F.array(raw))).when(head.isNotNull(), add(s, some(_after(line, head)))).otherwise(let(tokens(body), lambda t: fresh(label, t)))
 
-    return F.when(F.exists(x, lambda y: has(strip(y), LEADING_SECTION)), F.aggregate(x, start, merge, lambda s: s["out"])).otherwise(x)
+    return F.when(F.exists(x, lambda y: has(strip(y), LEADING_SECTION)), folded(x, start, kind, merge)).otherwise(x)
 
 
 def is_body_like(text: Column, before: Column) -> Column:
