@@ -83,9 +83,10 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     low = F.lit(-(2**63))
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     d = d.withColumn("_key", F.struct(F.coalesce(F.col("doc_id").cast("bigint"), low).alias("id"), F.xxhash64("text").alias("h")))
-    sketched = lambda rows: rows.select("doc_id", "text", "_key", "_range", "_copy", sketch(F.col("text"), k).alias("_sketch"))
-    d = with_next(d.withColumn("_size", F.octet_length("text")), "_key", "_size", sketched, F.struct("text", "_sketch"), "_next")
-    d = d.select("doc_id", "text", "_sketch", F.col("_next._sketch").alias("_after"), F.col("_next.text").alias("_text"))
+    own = F.struct("text", sketch(F.col("text"), k).alias("_sketch")).alias("_own")
+    sketched = lambda rows: rows.select("doc_id", "_key", "_range", "_copy", own)
+    d = with_next(d.withColumn("_size", F.octet_length("text")), "_key", "_size", sketched, F.col("_own"), "_next")
+    d = d.select("doc_id", F.col("_own.text").alias("text"), F.col("_own._sketch").alias("_sketch"), F.col("_next._sketch").alias("_after"), F.col("_next.text").alias("_text"))
     n = F.length("text").cast("bigint")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), (n - half).cast("int")), F.substr("_text", F.lit(1), half))

@@ -7,6 +7,7 @@ import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 MARK = "▁"
-#: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED = 400_000
+#: Words whose ids a task remembers, in each of two generations.
+REMEMBERED = 150_000
 #: Words of up to so many symbols go through the agenda together, one row each.
 ROW_SYMBOLS = 40
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_corrected bigint"
@@ -68,6 +69,8 @@ class PieceBPE:
         self.apart = not any(MARK in p[1:] and set(p) != {MARK} for p in self.ids)
         self.memory = Memory()
         self.corrected = 0
+        # words for which the library's ids replace the agenda's
+        self.wrong: set[str] = set()
         order = sorted(plain, key=lambda i: -sp.get_score(i))
         times = Counter(self.scores[p] for p in self.ids if len(p) > 1)
         # where pieces share a score, ties go by place: words that could hold such pieces are encoded one by one
@@ -199,6 +202,7 @@ class PieceBPE:
             at = end
             if own != right and chunk != MARK:  # the library drops a lone mark at the start
                 self.corrected += 1
+                self.wrong.add(chunk)
                 own = right
             self.memory[chunk] = own
 
@@ -213,18 +217,27 @@ class PieceBPE:
             return _CHUNKS.findall(norm)
         return norm[1:].split(MARK)
 
-    def encode_packed(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers, without begin and end."""
+    def encode_counted(self, texts: list[str]) -> Iterator[tuple[bytes, int]]:
+        """The ids of each text as little-endian unsigned 32-bit integers, without begin and end, and how many of its words
+        the library's ids had to put right (for a text that is taken whole: 1 or 0)."""
         cut = [self.chunks(t) for t in texts]
         known = self.memory
         self.learn({x for c in cut if c for x in c})
         for t, c in zip(texts, cut):
             if c is None:
                 right = np.array(self.library.encode(t), "<u4").tobytes()
-                self.corrected += right != np.array(self.agenda(self.library.normalize(t)), "<u4").tobytes()
-                yield right
+                yield right, int(right != np.array(self.agenda(self.library.normalize(t)), "<u4").tobytes())
             else:
-                yield b"".join([known[x] for x in c])
+                yield b"".join([known[x] for x in c]), sum(x in self.wrong for x in c) if self.wrong else 0
+
+    def encode_packed(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers, without begin and end."""
+        return (packed for packed, _ in self.encode_counted(texts))
+
+    def forget(self) -> None:
+        """Drops what is known of words: a worker lives on after a task."""
+        self.memory = Memory(self.memory.most)
+        self.wrong = set()
 
     def encode(self, text: str, begin: bool = True, end: bool = True) -> list[int]:
         (packed,) = self.encode_packed([text])
@@ -240,6 +253,16 @@ def loaded(path: str) -> PieceBPE:
     return _loaded[path]
 
 
+@contextmanager
+def at_work(path: str) -> Iterator[PieceBPE]:
+    """The encoder of a worker for one task, which leaves only the vocabulary behind."""
+    coder = loaded(path)
+    try:
+        yield coder
+    finally:
+        coder.forget()
+
+
 def _groups(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
     group, size = [], 0
     for t in texts:
@@ -252,25 +275,33 @@ def _groups(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
         yield group
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", begin: bool = True, end: bool = True) -> DataFrame:
-    """docs with the ids of each whole text in a column `ids` (which it replaces); a null text is empty, and has the begin and end ids only."""
+def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", begin: bool = True, end: bool = True, digest: str | None = None) -> DataFrame:
+    """docs with the ids of each whole text in a column `ids` (which it replaces); a null text is empty, and has the begin and end ids only.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = loaded(path)
-        head = np.array([coder.library.bos_id()] * begin, "<u4").tobytes()
-        tail = np.array([coder.library.eos_id()] * end, "<u4").tobytes()
-        for batch in batches:
-            packed = [head + p + tail for g in _groups([t or "" for t in batch.column(text).to_pylist()]) for p in coder.encode_packed(g)]
-            values = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
-            offsets = np.zeros(len(packed) + 1, np.int32)
-            offsets[1:] = np.cumsum([len(p) // 4 for p in packed])
-            rest = [(f, c) for f, c in zip(batch.schema, batch.columns) if f.name != ids]
-            yield pa.RecordBatch.from_arrays([c for _, c in rest] + [pa.ListArray.from_arrays(pa.array(offsets), values)], [f.name for f, _ in rest] + [ids])
-
-    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+    digest: a column for the SHA-256 of what the ids decode to, which shows a round trip that lost something."""
+    made = {ids, digest}
 
-    schema = StructType([f for f in docs.schema.fields if f.name != ids] + [StructField(ids, ArrayType(IntegerType(), True))])
-    return docs.mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with at_work(path) as coder:
+            head = np.array([coder.library.bos_id()] * begin, "<u4").tobytes()
+            tail = np.array([coder.library.eos_id()] * end, "<u4").tobytes()
+            for batch in batches:
+                packed = [head + p + tail for g in _groups([t or "" for t in batch.column(text).to_pylist()]) for p in coder.encode_packed(g)]
+                offsets = np.zeros(len(packed) + 1, np.int32)
+                offsets[1:] = np.cumsum([len(p) // 4 for p in packed])
+                columns = {f.name: c for f, c in zip(batch.schema, batch.columns) if f.name not in made}
+                columns[ids] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)))
+                if digest:
+                    texts = (coder.decode(np.frombuffer(p, "<u4").tolist()) for p in packed)
+                    columns[digest] = pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+    fields = [f for f in docs.schema.fields if f.name not in made] + [StructField(ids, ArrayType(IntegerType(), True))]
+    if digest:
+        fields.append(StructField(digest, StringType()))
+    return docs.mapInArrow(run, StructType(fields))
 
 
 def decoded(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -291,26 +322,25 @@ def decoded(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decod
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """For each row of docs: the number of ids of its whole text, and digests of the ids and of the text that they decode to.
 
-    Null texts are empty; rows that repeat are encoded each. n_corrected is the number of words, in the batch that the
-    row came in, for which the library's ids had to replace the agenda's (0 if both agree).
+    Null texts are empty; rows that repeat are encoded each. n_corrected is the number of the row's words for which the
+    library's ids had to replace the agenda's (0 if both agree).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = loaded(path)
-        head, tail = coder.library.bos_id(), coder.library.eos_id()
-        begin, end = np.array([head], "<u4").tobytes(), np.array([tail], "<u4").tobytes()
-        for batch in batches:
-            was, rows = coder.corrected, []
-            for group in _groups([t or "" for t in batch.column(1).to_pylist()]):
-                for packed in coder.encode_packed(group):
-                    packed = begin + packed + end
-                    text = coder.decode(np.frombuffer(packed, "<u4").tolist())
-                    rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
-            n, ids, texts = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array([coder.corrected - was] * len(n), pa.int64())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"],
-            )
+        with at_work(path) as coder:
+            begin, end = np.array([coder.library.bos_id()], "<u4").tobytes(), np.array([coder.library.eos_id()], "<u4").tobytes()
+            for batch in batches:
+                rows = []
+                for group in _groups([t or "" for t in batch.column(1).to_pylist()]):
+                    for packed, corrected in coder.encode_counted(group):
+                        packed = begin + packed + end
+                        text = coder.decode(np.frombuffer(packed, "<u4").tolist())
+                        rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), corrected))
+                n, ids, texts, corrected = zip(*rows) if rows else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(corrected, pa.int64())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"],
+                )
 
     return docs.select("doc_id", "text").mapInArrow(run, DIGESTS)
 

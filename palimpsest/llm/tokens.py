@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text goes alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _SEED = np.random.Generator(np.random.PCG64(20250611))
 #: A random 64-bit value for each byte value, and an odd multiplier: hash = mix(sum(value[byte_j] * multiplier ** j)).
 _VALUE = _SEED.integers(0, 2**64, 256, dtype=np.uint64)
