@@ -31,8 +31,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document of the mix with its token ids in place of its text."""
-    return piece_bpe.encoded(docs, piece_bpe.model_path()).select("doc_id", "lang", "source", "n_chars", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids")
+    """Each document of the mix with its token ids in place of its text, and a digest of the text that they decode to."""
+    coded = piece_bpe.encoded(docs, piece_bpe.model_path(), digest="decoded_sha256")
+    return coded.select("doc_id", "lang", "source", "n_chars", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", "decoded_sha256")
 
 
 STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("near_dedup", near_duplicates), ("source_mix", mix), ("sentencepiece", encode)]
