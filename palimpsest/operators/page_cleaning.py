@@ -259,7 +259,8 @@ def front_step(t: Column, page_number: Column) -> Column:
 
 
 def protected_hits(t: Column) -> Column:
-    return F.concat(*[F.transform(found(t, p), lambda m, rule=rule: flag(rule, m)) for rule, p in P.PROTECTED.items()]).cast(FLAGS)
+    named = lambda rule: lambda m: flag(rule, m)
+    return F.concat(*[F.transform(found(t, p), named(rule)) for rule, p in P.PROTECTED.items()]).cast(FLAGS)
 
 
 def conditional_flags(t: Column) -> Column:
