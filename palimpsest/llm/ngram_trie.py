@@ -113,6 +113,17 @@ class EliasFano:
         word = np.searchsorted(self.zeros, k.astype(np.uint32), "right") - 1
         return word * 64 + _select(~self.high[word], k - self.zeros[word])
 
+    def _next_zero(self, place: np.ndarray) -> np.ndarray:
+        """The first zero at or after each place; there is one."""
+        word = place >> 6
+        rest = ~self.high[word] >> (place & 63).astype(np.uint64) << (place & 63).astype(np.uint64)
+        left = np.flatnonzero(rest == 0)
+        while len(left):
+            word[left] += 1
+            rest[left] = ~self.high[word[left]]
+            left = left[rest[left] == 0]
+        return word * 64 + np.bitwise_count((rest & (~rest + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+
     def find(self, values: np.ndarray) -> np.ndarray:
         """The place of each value, -1 where it isn't in the sequence: the successor among those with its high part."""
         if not self.n:
@@ -122,8 +133,9 @@ class EliasFano:
         inside = high < int(self.zeros[-1]) - 1
         high = np.where(inside, high, 0)
         low = values & np.uint64(2**self.width - 1)
-        a = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) - high + 1, 0)
-        end = np.where(inside, self._zero(high) - high, a)
+        before = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        a = before - high
+        end = np.where(inside, self._next_zero(before) - high, a)
         b = end.copy()
         left = np.flatnonzero(a < b)
         while len(left):
@@ -524,7 +536,9 @@ def text_scores(reader: Reader, w: tokens.Words) -> tuple[np.ndarray, np.ndarray
         known = np.flatnonzero((before >= 0) & (ids >= 0))
         pair = _pairs(before[known], ids[known])
         shard = _shard_of(pair, m.shards)
-        order = np.argsort(shard, kind="stable")
+        # in the order of the levels, so that what is looked up lies together
+        order = np.argsort(pair)
+        order = order[np.argsort(shard[order], kind="stable")]
         known, shard = known[order], shard[order]
         back = np.ones(len(ids) + 1)  # of the pair that ends before the token
         more = np.zeros(len(ids) + 1)
