@@ -198,8 +198,12 @@ def test_language_model_equals_brute_force(spark):
     mine = [s for i, s in enumerate(seqs) if zlib.crc32(str(i).encode()) % 7 != 2]
     one, two, three = (Counter(tuple(s[k : k + n]) for s in mine for k in range(len(s) - n + 1)) for n in (1, 2, 3))
     total, kinds = sum(c for k, c in one.items() if k != ("<b>",)), len(one) - 1
-    prior = lambda n, c: ngram_trie.PRIORS[n][0] * c ** ngram_trie.PRIORS[n][1]
-    cut = lambda p: 10 ** (-ngram_trie.STEP * min(255, math.ceil(-math.log10(p) / ngram_trie.STEP - 1e-9)))
+    prior = lambda c: ngram_trie.FACTOR * c**ngram_trie.POWER
+    off = lambda n: ngram_trie.DISCOUNTS[min(n, 3) - 1]
+    cut = lambda p: 10 ** (-ngram_trie.STEP * math.ceil(-math.log10(p) / ngram_trie.STEP - 1e-9))
+    left = Counter()
+    for k, n in three.items():
+        left[k[:2]] += off(n)
     for i, s in enumerate(seqs):
         base = score = 0
         for k in range(1, len(s)):
@@ -207,10 +211,10 @@ def test_language_model_equals_brute_force(spark):
             base += math.log10(p)
             if c := one[(s[k - 1],)]:
                 n = two[tuple(s[k - 1 : k + 1])]
-                p = p * (1 - c / (c + prior(2, c))) + (cut(n / (c + prior(2, c))) if n else 0)
+                p = p * (1 - c / (c + prior(c))) + (cut(n / (c + prior(c))) if n else 0)
             if k > 1 and (c := two[tuple(s[k - 2 : k])]):
                 n = three[tuple(s[k - 2 : k + 1])]
-                p = p * cut(1 - c / (c + prior(3, c))) + (cut(n / (c + prior(3, c))) if n else 0)
+                p = p * cut(left[tuple(s[k - 2 : k])] / c) + (cut((n - off(n)) / c) if n else 0)
             score += math.log10(p)
         x = got[i]
         assert (x.n_tokens, x.n_known) == (len(s) - 1, sum((w,) in one for w in s[1:])) and model.n_tokens == total
@@ -271,7 +275,7 @@ def test_no_probability_is_rounded_up():
     got = ngram_trie._POWER[code]
     assert (got <= p * (1 + 1e-8)).all() and (got >= p * 10 ** (-ngram_trie.STEP) * (1 - 1e-8)).all()
     counts = np.append(np.ones(1_000_000), 2.4e8 - 1_000_000)  # the successors of a hot word
-    shares = counts / (2.4e8 + ngram_trie.prior(2, np.array([2.4e8])))
+    shares = counts / (2.4e8 + ngram_trie.prior(np.array([2.4e8])))
     assert ngram_trie._POWER[ngram_trie.quantised(shares)].sum() <= shares.sum()
     assert ngram_trie._POWER[ngram_trie.quantised(shares[:1])][0] <= shares[0]
 
