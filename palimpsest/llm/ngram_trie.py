@@ -37,6 +37,8 @@ DISCOUNTS = (0.8, 0.9, 1.0)
 SHARD_TOKENS = 2_000_000
 #: Words of a vocabulary shard, at most on average.
 SHARD_WORDS = 1_000_000
+#: Bytes of text that are looked up at once: each look goes to all shards, so that there is much to look up in each.
+SLICE_BYTES = 4 << 20
 #: log10 probabilities are kept in steps of STEP down from 0.
 STEP = 1 / 40
 #: The token after the last word of a text: a hash that no word is likely to have.
@@ -265,7 +267,7 @@ def _counted(texts: Iterator[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
 
     for part in texts:
         n += len(part)
-        for _, w in tokens.iter_words(part, lower=True):
+        for _, w in tokens.iter_words(part, lower=True, size=SLICE_BYTES):
             k, c = np.unique(w.hashes, return_counts=True)
             fresh_keys.append(k)
             fresh_counts.append(c)
@@ -418,7 +420,7 @@ def _gram_blocks(model: Model, texts: Iterator[pa.Array], most: int = 1_500_000)
             yield int(shard[a]), b"".join(_planes(x) for x in (np.diff(u, prepend=0), uv[a:b] & np.uint64(2**32 - 1), w[a:b], c[a:b]))
 
     for part in texts:
-        for _, words in tokens.iter_words(part, lower=True):
+        for _, words in tokens.iter_words(part, lower=True, size=SLICE_BYTES):
             ids, _, at = reader.sequence(words)
             before = np.insert(ids[:-1], 0, model.begin) if len(ids) else ids
             before[at[:-1]] = model.begin
@@ -587,7 +589,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            got = [text_scores(reader, w) for _, w in tokens.iter_words(batch.column(1), lower=True)]
+            got = [text_scores(reader, w) for _, w in tokens.iter_words(batch.column(1), lower=True, size=SLICE_BYTES)]
             if got:
                 columns = [np.concatenate([g[i] for g in got]) for i in range(4)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c) for c in columns)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])

@@ -70,8 +70,8 @@ def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((total[end] - total[start]) * powers(_INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
 
 
-def slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(index of the first text, bytes, bounds) of runs of texts of about SLICE_BYTES; nulls are empty."""
+def slices(texts: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index of the first text, bytes, bounds) of runs of texts of about `size` bytes; nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks() if texts.num_chunks != 1 else texts.chunk(0)
     texts = texts.cast(pa.large_string())
@@ -85,7 +85,7 @@ def slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray,
     raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
     i = 0
     while i < n:
-        j = int(np.searchsorted(bounds, bounds[i] + SLICE_BYTES, "right")) - 1
+        j = int(np.searchsorted(bounds, bounds[i] + size, "right")) - 1
         j = min(n, max(i + 1, j))
         yield i, raw[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]
         i = j
@@ -108,8 +108,8 @@ def words_of(raw: np.ndarray, text_at: np.ndarray, lower: bool = False) -> Words
     return Words(raw, text_at, start, end, np.searchsorted(start, text_at), span_hashes(raw, start, end))
 
 
-def iter_words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[tuple[int, Words]]:
-    for i, raw, bounds in slices(texts):
+def iter_words(texts: pa.Array | pa.ChunkedArray, lower: bool = False, size: int = SLICE_BYTES) -> Iterator[tuple[int, Words]]:
+    for i, raw, bounds in slices(texts, size):
         yield i, words_of(raw, bounds, lower)
 
 
