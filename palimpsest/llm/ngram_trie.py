@@ -38,7 +38,7 @@ SHARD_TOKENS = 2_000_000
 #: Words of a vocabulary shard, at most on average.
 SHARD_WORDS = 1_000_000
 #: Bytes of text that are looked up at once: each look goes to all shards, so that there is much to look up in each.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: log10 probabilities are kept in steps of STEP down from 0.
 STEP = 1 / 40
 #: The token after the last word of a text: a hash that no word is likely to have.

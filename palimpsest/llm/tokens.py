@@ -30,7 +30,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        if size <= 4 * SLICE_BYTES:
+        if size <= 8 * SLICE_BYTES:
             _powers[base] = have
     return have[:n]
 
