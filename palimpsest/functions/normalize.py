@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,13 +77,26 @@ def stem(path: Column, most: int = 140) -> Column:
     return F.when(safe == "", F.lit("book")).otherwise(safe)
 
 
+def unescaped(text: Column) -> Column:
+    """Character references of HTML decoded once: numeric ones, and the named ones that Python's html.entities lists; others stay."""
+    named = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    point = lambda hexadecimal: F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32")
+
+    def one(p: Column) -> Column:
+        body = F.substr(p, F.lit(2), F.length(p) - 2)
+        number = F.conv(F.when(body.startswith("#x") | body.startswith("#X"), F.substr(body, F.lit(3))).otherwise(F.conv(F.substr(body, F.lit(2)), 10, 16)), 16, 10).cast("bigint")
+        legal = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        decoded = F.when(body.startswith("#"), F.when(legal, point(F.hex(number))).otherwise("\ufffd")).otherwise(F.coalesce(named[body], p))
+        return F.when(p.startswith("&") & p.endswith(";") & (F.length(p) > 2), decoded).otherwise(p)
+
+    parts = F.regexp_extract_all(text, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|(?s:[^&]+|&)"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(text)
+
+
 def html_text(html: Column) -> Column:
-    """Text of an HTML part: no scripts, styles and tags, the common character references decoded, white space as one space."""
+    """Text of an HTML part: no scripts, styles and tags, character references decoded, white space as one space."""
     t = sub(F.coalesce(html, F.lit("")), r"<(script|style)\b[^>]*>.*?</\1>", " ", "is")
-    t = sub(t, r"<[^>]+>", " ")
-    for name, to in (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("copy", "©"), ("middot", "·"), ("mdash", "—"), ("ndash", "–"), ("laquo", "«"), ("raquo", "»"), ("amp", "&")):
-        t = F.replace(t, F.lit(f"&{name};"), F.lit(to))
-    return compact(t)
+    return compact(let(sub(t, r"<[^>]+>", " "), unescaped))
 
 
 def homoglyphs(text: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries, rule_queries
+from . import queries, rule_queries, text_queries
 
 QUERIES = queries.QUERIES
 ORACLES = queries.ORACLES
 
-__all__ = ["ORACLES", "QUERIES", "queries", "rule_queries"]
+__all__ = ["ORACLES", "QUERIES", "queries", "rule_queries", "text_queries"]
