@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,10 +45,12 @@ def digest(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set only where the session has none."""
+    """The folder that driver and executors share, from the session; one is made only where the session has none and runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "/tmp/palimpsest-checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = f"{tempfile.gettempdir()}/palimpsest-checkpoints"
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -63,6 +69,22 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function on Arrow batches that gives free memory back when its task ends: a worker waits for the next task, beside the executor."""
+
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tokens
-from .common import table
+from .common import released, table
 
 #: Least Dice coefficient of a match.
 LEAST = 0.8
@@ -171,7 +171,7 @@ def scanned(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
                 ["doc_id", "license", "dice", "n_matches", "licenses"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(released(run), SCHEMA)
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import SHINGLE_WORDS, SIMILARITY, digest, table, written
+from .common import SHINGLE_WORDS, SIMILARITY, digest, released, table, written
 
 #: 32 bands of 4 coordinates: two texts of similarity 0.8 share no band once in 20 million times.
 BANDS, ROWS = 32, 4
@@ -149,7 +149,7 @@ def banded(docs: DataFrame) -> DataFrame:
                 sizes += np.bincount(text, weight, n).astype(np.int64).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists(rows), pa.array(sketches, pa.binary()), pa.array(sizes, pa.int64())], ["id", "copy", "bands", "sketch", "size"])
 
-    return docs.select("id", "text", "copy").mapInArrow(run, "id bigint, copy string, bands array<bigint>, sketch binary, size bigint")
+    return docs.select("id", "text", "copy").mapInArrow(released(run), "id bigint, copy string, bands array<bigint>, sketch binary, size bigint")
 
 
 def shingled(texts: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def shingled(texts: DataFrame) -> DataFrame:
                 rows += [values[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(rows)], ["node", "items"])
 
-    return texts.select("node", "text").mapInArrow(run, "node bigint, items array<bigint>")
+    return texts.select("node", "text").mapInArrow(released(run), "node bigint, items array<bigint>")
 
 
 def counted(rows: DataFrame, key: str, total: int, least: int = 2) -> DataFrame:

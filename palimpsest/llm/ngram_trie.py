@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import scratch, table, written
+from .common import released, scratch, table, written
 
 FOLDS, HELD_OUT = 7, 2
 ORDER = 3
@@ -286,7 +286,7 @@ def _vocabulary(texts: DataFrame, folder: str) -> Model:
         for i in range(0, len(k), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000]).view(pa.int64()), pa.array(c[i : i + 100_000])], ["h", "c"])
 
-    words = written(texts.mapInArrow(count, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")), "words")
+    words = written(texts.mapInArrow(released(count), "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")), "words")
     n_words, n_tokens, n_texts = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("h") == int(END.astype(np.int64)), F.col("c"))), F.lit(0))).first()
     bits = max(1, int(-(-n_words // SHARD_WORDS) - 1).bit_length())
 
@@ -525,8 +525,8 @@ def trained(texts: DataFrame, folder: str | None = None) -> Model:
         if merged:
             yield done(merged)
 
-    blocks = texts.mapInArrow(grams, "shard bigint, block binary").repartition("shard").sortWithinPartitions("shard")
-    blocks.mapInArrow(build, "shard bigint, pairs bigint, bytes bigint").agg(F.count("*"), F.sum("bytes")).collect()
+    blocks = texts.mapInArrow(released(grams), "shard bigint, block binary").repartition("shard").sortWithinPartitions("shard")
+    blocks.mapInArrow(released(build), "shard bigint, pairs bigint, bytes bigint").agg(F.count("*"), F.sum("bytes")).collect()
     return model
 
 
@@ -594,7 +594,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 columns = [np.concatenate([g[i] for g in got]) for i in range(4)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c) for c in columns)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(released(run), SCHEMA)
 
 
 def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ranged, table
+from .common import ranged, released, table
 
 #: Elements that start a block of their own.
 BLOCKS = set("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -277,9 +277,9 @@ def extracted(pages: DataFrame) -> DataFrame:
         if held:
             yield batch()
 
-    rows = rows.mapInArrow(parse, f"page_id {id_type}, url string, _range int, _copy boolean, _key {dict(rows.dtypes)['_key']}, _lines {LINES}")
+    rows = rows.mapInArrow(released(parse), f"page_id {id_type}, url string, _range int, _copy boolean, _key {dict(rows.dtypes)['_key']}, _lines {LINES}")
     rows = rows.repartition("_range").sortWithinPartitions("_range", "_key")
-    return rows.mapInArrow(pair, f"page_id {id_type}, url string, text string, n_chars bigint, n_common bigint, marked boolean")
+    return rows.mapInArrow(released(pair), f"page_id {id_type}, url string, text string, n_chars bigint, n_common bigint, marked boolean")
 
 
 def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

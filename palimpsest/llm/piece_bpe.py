@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import released, table
 
 MARK = "▁"
 #: Words whose ids a task remembers, in each of two generations.
@@ -301,7 +301,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "token_id
     fields = [f for f in docs.schema.fields if f.name not in made] + [StructField(ids, ArrayType(IntegerType(), True))]
     if digest:
         fields.append(StructField(digest, StringType()))
-    return docs.mapInArrow(run, StructType(fields))
+    return docs.mapInArrow(released(run), StructType(fields))
 
 
 def decoded(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -316,7 +316,7 @@ def decoded(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decod
 
     from pyspark.sql.types import StringType, StructField, StructType
 
-    return df.mapInArrow(run, StructType([f for f in df.schema.fields if f.name != text] + [StructField(text, StringType())]))
+    return df.mapInArrow(released(run), StructType([f for f in df.schema.fields if f.name != text] + [StructField(text, StringType())]))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -342,7 +342,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, DIGESTS)
+    return docs.select("doc_id", "text").mapInArrow(released(run), DIGESTS)
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import released, table
 from .piece_bpe import Memory, model_path
 
 #: Tokens above which a document is over the limit.
@@ -180,7 +180,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
             sizes = pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), sizes, pa.array(tokens), pa.array(tokens > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, COUNTS)
+    return docs.select("doc_id", "text").mapInArrow(released(run), COUNTS)
 
 
 def truncated(docs: DataFrame, path: str, budget: int) -> DataFrame:
@@ -197,7 +197,7 @@ def truncated(docs: DataFrame, path: str, budget: int) -> DataFrame:
                 tokens.append(int(counts[i]))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string()), pa.array(tokens, pa.int64())], ["doc_id", "text", "n_tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, text string, n_tokens bigint")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id bigint, text string, n_tokens bigint")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,21 +19,26 @@ STOP_WORDS = (
 ).split()
 
 
+#: Languages whose words the list and the bounds on word lengths were made for; other languages pass these rules.
+LISTED = ("en", "de", "fr", "es")
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A document fails the rule if `metric` is below `least` or above `most`."""
+    """A document fails the rule if `metric` is below `least` or above `most`; `langs`, if any, are the only languages that it is for."""
 
     name: str
     metric: str
     least: float | None = None
     most: float | None = None
+    langs: tuple[str, ...] = ()
 
 
 #: Production thresholds; metrics are the columns that `ratios` makes.
 RULES = (
-    Rule("word_length", "mean_word_chars", least=2.5, most=12.0),
+    Rule("word_length", "mean_word_chars", least=2.5, most=12.0, langs=LISTED),
     Rule("symbols", "symbols_per_word", most=0.1),
-    Rule("stop_words", "stop_word_share", least=0.02),
+    Rule("stop_words", "stop_word_share", least=0.02, langs=LISTED),
     Rule("duplicate_lines", "duplicate_line_share", most=0.6),
     Rule("repeated_words", "repeated_word_share", most=0.5),
     Rule("capitals", "capital_share", most=0.4),
@@ -106,11 +111,20 @@ def ratios(c: Column) -> dict[str, Column]:
     }
 
 
-def passes(c: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """The table as one Boolean expression."""
+def passes(c: Column, lang: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The table as one Boolean expression. A document without a language is taken as one of a listed language."""
     metrics = ratios(c)
-    bounds = [metrics[r.metric] >= r.least for r in rules if r.least is not None] + [metrics[r.metric] <= r.most for r in rules if r.most is not None]
-    return reduce(lambda a, b: a & b, bounds, F.lit(True))
+
+    def test(r: Rule) -> Column:
+        low = metrics[r.metric] >= r.least if r.least is not None else F.lit(True)
+        high = metrics[r.metric] <= r.most if r.most is not None else F.lit(True)
+        return (low & high) | ~F.coalesce(lang.isin(*r.langs), F.lit(True)) if r.langs else low & high
+
+    return reduce(lambda a, b: a & b, map(test, rules), F.lit(True))
+
+
+def language(docs: DataFrame) -> Column:
+    return F.lower("lang") if "lang" in docs.columns else F.lit(None).cast("string")
 
 
 def base_failed(c: Column) -> Column:
@@ -119,19 +133,19 @@ def base_failed(c: Column) -> Column:
 
 def measured(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts and verdict of every document, from its whole text; a null text has no words and fails. One row for each row."""
-    d = docs.select("doc_id", counts(F.col("text")).alias("c"))
+    d = docs.select("doc_id", language(docs).alias("lang"), counts(F.col("text")).alias("c"))
     c = F.col("c")
     failed = base_failed(c)
     return d.select(
         "doc_id", c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"), c["n_symbols"].alias("n_symbols"), c["lines"]["dup"].alias("n_dup_lines"),
-        c["n_repeat_words"].alias("n_repeat_words"), failed.alias("base_failed"), (~failed & passes(c, rules)).alias("kept"), c["n_stop_words"].alias("n_stop_words"), c["n_letter_words"].alias("n_letter_words"),
+        c["n_repeat_words"].alias("n_repeat_words"), failed.alias("base_failed"), (~failed & passes(c, F.col("lang"), rules)).alias("kept"), c["n_stop_words"].alias("n_stop_words"), c["n_letter_words"].alias("n_letter_words"),
     )
 
 
 def kept(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that no rule rejects, with their columns as they were."""
     d = docs.withColumn("_c", counts(F.col("text")))
-    return d.where(~base_failed(F.col("_c")) & passes(F.col("_c"), rules)).drop("_c")
+    return d.where(~base_failed(F.col("_c")) & passes(F.col("_c"), language(docs), rules)).drop("_c")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,15 +158,20 @@ def _oracle() -> str:
         "mean_word_chars": "word_chars / n_words", "symbols_per_word": "n_symbols / n_words", "stop_word_share": "n_stop_words / n_words", "duplicate_line_share": "n_dup_lines / n_lines",
         "repeated_word_share": "n_repeat_words / n_words", "capital_share": "n_capitals / word_chars", "letter_word_share": "n_letter_words / n_words",
     }
-    bounds = [f"{metrics[r.metric]} >= {r.least}" for r in RULES if r.least is not None] + [f"{metrics[r.metric]} <= {r.most}" for r in RULES if r.most is not None]
+    bounds = []
+    for r in RULES:
+        sides = [f"{metrics[r.metric]} >= {r.least}"] * (r.least is not None) + [f"{metrics[r.metric]} <= {r.most}"] * (r.most is not None)
+        langs = ", ".join(f"'{x}'" for x in r.langs)
+        other = f" OR coalesce(lower(lang), '{r.langs[0]}') NOT IN ({langs})" if langs else ""
+        bounds.append(f"({' AND '.join(sides)}{other})")
     return rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-l AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, lang, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 p AS (SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS tri FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM l WHERE len(w) >= 3)),
 q AS (SELECT doc_id, i FROM p QUALIFY count(*) OVER (PARTITION BY doc_id, tri) >= 2),
 r AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM q) GROUP BY doc_id),
-c AS (SELECT l.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+c AS (SELECT l.doc_id, l.lang, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
   coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(list_filter(w, lambda x: lower(x) IN ({stop})))::BIGINT AS n_stop_words,
   length(regexp_replace(text, '\P{{Lu}}', '', 'g'))::BIGINT AS n_capitals, len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}')))::BIGINT AS n_letter_words

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import table
+from .common import released, table
 
 #: Labelled rows that the trees are fitted on, at most: those with the least hash of doc_id.
 SAMPLE_ROWS = 20_000
@@ -160,7 +160,8 @@ def fold(doc_id: Column, of: int) -> Column:
 
 def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees:
     """Trees fitted on the labelled documents outside fold 0, at most `rows` of them (a documented bound: those with the
-    least hash of doc_id). Labels of no document or without a quality don't count; of several labels the largest holds."""
+    least hash of doc_id). Labels of no document or without a quality don't count; of several labels the largest holds, of
+    several documents with one id the one with the least statistics."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != 0))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
@@ -170,7 +171,8 @@ def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Tree
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
     own = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")
-    got = sorted(own.mapInArrow(measure, "doc_id bigint, quality int, x array<double>").distinct().collect())
+    measured = own.mapInArrow(released(measure), "doc_id bigint, quality int, x array<double>")
+    got = sorted(measured.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect())
     x = np.array([r.x for r in got]).reshape(len(got), len(STATISTICS))
     return fit(x, np.array([float(r.quality >= 1) for r in got]))
 
@@ -182,7 +184,7 @@ def scored(docs: DataFrame, trees: Trees) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(trees.scores(statistics(batch.column(1))))], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id bigint, score double")
 
 
 def kept(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFrame:
@@ -193,7 +195,7 @@ def kept(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD) -> DataFra
         for batch in batches:
             yield batch.filter(pa.array(trees.scores(statistics(batch.column(names.index("text")))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
