@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.normalize import html_text, stem
-from ..functions.rx import strip
+from ..functions.line_rules import skip_reason
+from ..functions.normalize import html_text, sample_text, stem
+from ..functions.rx import strip, sub
 
 PAGE_STATE = (
     "doc_id string, page_number int, current_state string, last_success_state string, route_decision string, page_type string, risk_level string, raw_text string, rule_cleaned_text string, primary_clean_text string, "
@@ -26,9 +27,15 @@ LAYOUT = "source_path string, page_count int, pages array<struct<page_number:str
 
 
 def books(spark: SparkSession, root: str) -> DataFrame:
-    """(path, extension, length, content) of every PDF and EPUB file under a folder, in the order of their paths."""
+    """(path, extension, length, content) of every PDF and EPUB file under a folder. Contents aren't sorted: order the paths where an order is needed."""
     b = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{pdf,epub,PDF,EPUB}").load(root)
-    return b.select("path", F.lower(F.regexp_extract("path", r"(\.[^.]*)$", 1)).alias("extension"), "length", "content").orderBy("path")
+    return b.select("path", F.lower(F.regexp_extract("path", r"(\.[^.]*)$", 1)).alias("extension"), "length", "content")
+
+
+def supported(files: DataFrame) -> DataFrame:
+    """The files, if all of them are of a kind that can be read; the first other one raises an error that names it."""
+    known = F.lower("extension").isin(".pdf", ".epub")
+    return files.withColumn("extension", F.when(known, F.col("extension")).otherwise(F.raise_error(F.concat(F.lit("unsupported document type: "), "path"))))
 
 
 def page_subset(n: Column, wanted: Column) -> Column:
@@ -75,14 +82,40 @@ def epub_parts(files: DataFrame) -> DataFrame:
 
 
 def epub_pages(files: DataFrame) -> DataFrame:
-    """EPUB parts as pages with text; empty ones go."""
-    p = epub_parts(files).withColumn("selected_text", html_text(F.col("html"))).where("selected_text <> ''")
-    return p.select("path", "page_number", F.lit("epub_extract").alias("source"), "selected_text")
+    """EPUB parts as pages with text, empty ones gone; parts that a test of the text sets apart are named as such, with the reason."""
+    p = epub_parts(files).withColumn("selected_text", html_text(F.col("html"))).where("selected_text <> ''").withColumn("skip_reason", skip_reason(F.col("selected_text")))
+    source = F.when(F.col("skip_reason").isNotNull(), "epub_skip_nonbody").otherwise("epub_extract")
+    return p.select("path", "page_number", source.alias("source"), "selected_text", "skip_reason")
+
+
+def epub_records(files: DataFrame, samples: int = 3, least: int = 40) -> DataFrame:
+    """(path, spine_docs, sample_text_chars, sample_nonempty_pages, avg_chars_per_sampled_page, route, review_priority) of EPUB books, from their first parts."""
+    texts = epub_parts(files).select("path", "page_number", sample_text(sub(F.col("html"), "<[^>]+>", " ")).alias("text"))
+    size = F.when(F.col("page_number") <= samples, F.length(F.replace("text", F.lit(" "), F.lit(""))))
+    known = texts.groupBy("path").agg(F.count("*").alias("spine_docs"), F.sum(size).alias("sample_text_chars"), F.count_if(size >= least).alias("sample_nonempty_pages"), F.bround(F.avg(size), 1).alias("avg_chars_per_sampled_page"))
+    books = files.where("extension = '.epub'").select("path")
+    return books.join(known, "path", "left").select("*", F.lit("epub_extract_then_clean").alias("route"), F.when(F.col("spine_docs").isNull(), "medium").otherwise("low").alias("review_priority"))
+
+
+def texts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text) of whole files; bytes that aren't UTF-8 become replacement characters."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"path": b["path"], "text": [c.decode("utf-8", "replace") for c in b["content"]]})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, text string")
+
+
+def rules(spark: SparkSession, path: str) -> DataFrame:
+    """(group, name, rule) of a rule file: JSON of groups of named rules, each rule as JSON text."""
+    groups = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,map<string,string>>").alias("g"))
+    return groups.select(F.explode("g").alias("group", "r")).select("group", F.explode("r").alias("name", "rule"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The manifest CSV by relative_path; of rows for one path the last counts."""
-    m = spark.read.csv(path, header=True).withColumn("_at", F.monotonically_increasing_id())
+    """The manifest CSV by relative_path; of rows for one path the last in the file counts (of files, the last by name)."""
+    m = spark.read.csv(path, header=True).select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("_at"))
     last = F.row_number().over(W.partitionBy("relative_path").orderBy(F.col("_at").desc()))
     return m.withColumn("_r", last).where("_r = 1").drop("_r", "_at")
 
