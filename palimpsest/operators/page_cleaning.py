@@ -21,6 +21,8 @@ FLAGS = "array<struct<rule_id:string,evidence:string>>"
 STEP = f"struct<text:string,edits:{EDITS}>"
 #: Longest line that can be a running header or footer.
 EDGE_CHARS = 120
+#: Books of which the running edges are sent to every task; a book has a few of EDGE_CHARS at most. More books are joined with their pages.
+MOST_BOOKS = 10_000
 
 
 def edit(rule: str, action: str, before: Column, after: Column) -> Column:
@@ -287,7 +289,9 @@ STEPS: tuple[tuple[str, Callable[[Column], Column]], ...] = (
 def cleaned(pages: DataFrame, book: str = "book") -> DataFrame:
     """Each page with raw_text, cleaned_text, edits, flags, protected_hits, drop_page, drop_reason and allow_empty_output."""
     text = page_text(F.col("body_text"), F.col("selected_text"))
-    known = edges(pages, book, text).withColumnRenamed("book", "_book")
+    known = edges(pages, book, text).withColumnRenamed("book", "_book").cache()
+    if known.limit(MOST_BOOKS + 1).count() <= MOST_BOOKS:
+        known = F.broadcast(known)
     p = pages.join(known, F.equal_null(book, "_book"), "left").drop("_book").withColumn("_raw", text)
     none = F.array().cast(STRINGS)
     p = p.withColumn("_s", without_edges(F.col("_raw"), F.coalesce("headers", none), F.coalesce("footers", none))).drop("headers", "footers")

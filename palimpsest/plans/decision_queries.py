@@ -9,6 +9,7 @@ from ..functions import line_rules as L
 from ..functions import patterns as P
 from ..functions.rx import has, let, lines, n_compact, solid_lines
 from ..operators import evaluation, layout, manifest, model_edits, page_cleaning, review, routing, states
+from ..sources.tables import table
 from . import noise, sql
 from .queries import _STATE, query
 from .rule_queries import _COUNTS, SOLID, S, _flags, _meta
@@ -203,7 +204,7 @@ _LEGAL = ", ".join(f"('{a}', '{b}')" for a, to in P.MOVES.items() for b in (*to,
  SELECT user_id, current AS current_state, last AS last_success_state, n_moves::INT AS n_moves, n_illegal::INT AS n_illegal FROM r QUALIFY k = max(k) OVER (PARTITION BY user_id)""")
 def replayed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state of each user's page after all events in order; illegal moves are counted and change nothing."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("to_state", F.expr(_STATE))
+    e = table(spark, sf_dir, "events").withColumn("to_state", F.expr(_STATE))
     return states.replayed(e, ["user_id"], ["ts", "event_id"])
 
 
@@ -213,7 +214,7 @@ def replayed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The effective state of each event, its rank, whether it is as far as a review, and whether it may go on to the state named."""
     order = F.array(*[F.lit(s) for s in P.STATES])
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("current", F.expr(_STATE)).withColumn("last", F.get(order, (F.floor(F.col("event_id") / 7) % len(P.STATES)).cast("int")))
+    e = table(spark, sf_dir, "events").withColumn("current", F.expr(_STATE)).withColumn("last", F.get(order, (F.floor(F.col("event_id") / 7) % len(P.STATES)).cast("int")))
     e = e.withColumn("effective", states.effective(F.col("current"), F.col("last")))
     legal = states.moves(spark).select(F.col("from_state").alias("effective"), F.col("to_state").alias("last"), F.lit(True).alias("ok"))
     e = e.join(F.broadcast(legal), ["effective", "last"], "left")

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import table
+
 NL = "chr(10)"
 BODY = f"""CASE WHEN doc_id % 8 = 1 THEN replace(text, 'tion', concat('ti', '­', 'on'))
  WHEN doc_id % 5 = 0 THEN replace(text, concat('.', {NL}), concat('[7].', {NL}))
@@ -20,7 +22,7 @@ NOISY = f"""concat(CASE WHEN doc_id % 3 <> 0 THEN concat('RUNNING HEAD ', source
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, book and noisy text of every document."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", F.col("source").alias("book"), F.expr(NOISY).alias("text"))
 
 
@@ -52,7 +54,7 @@ PER_SHEET = 10
 
 def sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, part, book, text): two pages for each document, its lines of LINES alone (part 0), and before its whole text (part 1)."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("source").alias("book"), "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("book"), "text")
     lines = F.array(*[F.lit(x) for x in LINES])
     pick = F.transform(F.sequence(F.lit(0), F.lit(PER_SHEET - 1)), lambda k: F.get(lines, _place(F.col("doc_id"), k)))
     d = d.withColumn("head", F.array_join(pick, "\n"))

@@ -14,6 +14,7 @@ from ..functions import normalize as N
 from ..functions import patterns as P
 from ..functions.rx import count, has, let, lines, n_compact, solid_lines, strip, tally
 from ..operators import edit_plans, evaluation, layout, page_cleaning, post_clean, reports, review, routing, states, stitching
+from ..sources.tables import table
 from . import noise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,7 +133,7 @@ def ocr_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'hard_ocr_page' WHEN doc_id % 4 = 1 THEN 'skip_nonbody_page' WHEN doc_id % 4 = 2 THEN 'risky_extract_page' WHEN n < 260 THEN 'risky_extract_page' ELSE 'easy_page' END AS decision,
  CASE WHEN doc_id % 4 = 0 THEN 'high' WHEN doc_id % 4 = 1 THEN 'low' WHEN doc_id % 4 = 2 THEN 'medium' WHEN n < 260 THEN 'medium' ELSE 'low' END AS risk FROM c""")
 def route_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = table(spark, sf_dir, "documents")
     m = F.col("doc_id") % 4
     source = F.when(m == 0, "ocr").when(m == 1, "ocr_skipped_nonbody").otherwise("extract")
     r = routing.route(source, F.when(m == 2, "body_with_notes").otherwise("body_only"), F.lit("blocks"), n_compact(F.col("text")))
@@ -142,7 +143,7 @@ def route_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT page_id, length(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\\b[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'),
  '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g')))::BIGINT AS n_chars FROM pages""")
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.length(N.html_text(F.col("html"))).cast("bigint").alias("n_chars"))
+    return table(spark, sf_dir, "pages").select("page_id", F.length(N.html_text(F.col("html"))).cast("bigint").alias("n_chars"))
 
 
 @query()
@@ -166,13 +167,13 @@ def homoglyph_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def stitched_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stitching.stitched(spark.read.parquet(f"{sf_dir}/conversations.parquet"), "conv_id", "turn", "text")
+    return stitching.stitched(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
 
 
 @query(f"""WITH c AS (SELECT conv_id, turn, list_aggregate(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), 'string_agg', chr(10)) AS block FROM conversations)
  SELECT conv_id, count(*)::BIGINT AS n_pages, sum(length(block))::BIGINT AS n_chars FROM c WHERE block <> '' GROUP BY conv_id""")
 def ordered_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    c = table(spark, sf_dir, "conversations")
     block = F.array_join(F.filter(F.transform(lines(F.col("text")), lambda x: F.regexp_replace(strip(x), r"(?U)\s+", " ")), lambda x: x != ""), "\n")
     return c.select("conv_id", block.alias("block")).where("block <> ''").groupBy("conv_id").agg(F.count("*").alias("n_pages"), F.sum(F.length("block")).alias("n_chars"))
 
@@ -183,7 +184,7 @@ _STATE = "CASE event_id % 7 WHEN 0 THEN 'EXTRACTED' WHEN 1 THEN 'RULE_CLEANED' W
 @query(f"""WITH e AS (SELECT user_id, {_STATE} AS s FROM events) SELECT s AS key, 'state' AS metric, count(*)::BIGINT AS n FROM e GROUP BY s
  UNION ALL SELECT 'agent' || (user_id % 3)::VARCHAR, 'failed_by_agent', count(*)::BIGINT FROM e WHERE s = 'FAILED' GROUP BY 1 UNION ALL SELECT CASE WHEN user_id % 2 = 0 THEN 'low' ELSE 'high' END, 'risk', count(*)::BIGINT FROM e WHERE user_id % 5 <> 0 GROUP BY 1""")
 def monitor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("current_state", F.expr(_STATE))
+    e = table(spark, sf_dir, "events").withColumn("current_state", F.expr(_STATE))
     none = F.lit(None).cast("string")
     risk = F.when(F.col("user_id") % 5 != 0, F.when(F.col("user_id") % 2 == 0, "low").otherwise("high"))
     history = F.array(F.struct(F.concat(F.lit("agent"), (F.col("user_id") % 3).cast("string")).alias("agent"), F.col("current_state").alias("to_state")))
@@ -192,7 +193,7 @@ def monitor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def state_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("to_state", F.expr(_STATE))
+    e = table(spark, sf_dir, "events").withColumn("to_state", F.expr(_STATE))
     return states.replayed(e, ["user_id"], ["ts", "event_id"])
 
 
@@ -204,7 +205,7 @@ _PAIRS = ", ".join(f"('{a}', '{b}')" for a, to in P.MOVES.items() for b in (*to,
 def invalid_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window as W
 
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("to_state", F.expr(_STATE))
+    e = table(spark, sf_dir, "events").withColumn("to_state", F.expr(_STATE))
     e = e.withColumn("from_state", F.lag("to_state").over(W.partitionBy("user_id").orderBy("ts", "event_id"))).where("from_state IS NOT NULL")
     return states.invalid_moves(e).groupBy("from_state", "to_state").agg(F.count("*").alias("n"))
 
@@ -214,7 +215,7 @@ _MANIFEST = "SELECT source AS relative_path, CASE WHEN length(source) % 2 = 0 TH
 
 @query(f"WITH m AS ({_MANIFEST}) SELECT relative_path, page_count::BIGINT AS page_count FROM m WHERE extension = '.pdf' AND needs_ocr ORDER BY page_count DESC, chars DESC, relative_path LIMIT 10")
 def top_ocr_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/documents.parquet").createOrReplaceTempView("documents")
+    table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
     m = spark.sql(_MANIFEST).withColumn("file_size_mb", F.col("chars"))
     return reports.top_ocr(m).select("relative_path", "page_count")
 
@@ -222,7 +223,7 @@ def top_ocr_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH m AS ({_MANIFEST}) SELECT count(*)::BIGINT AS book_count, count(*) FILTER (extension = '.pdf')::BIGINT AS pdf_count, count(*) FILTER (extension = '.epub')::BIGINT AS epub_count,
  coalesce(sum(page_count) FILTER (extension = '.pdf'), 0)::BIGINT AS pdf_pages_total, coalesce(sum(page_count) FILTER (extension = '.pdf' AND needs_ocr), 0)::BIGINT AS estimated_ocr_pages FROM m""")
 def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/documents.parquet").createOrReplaceTempView("documents")
+    table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
     return reports.manifest_summary(spark.sql(_MANIFEST))
 
 
@@ -236,7 +237,7 @@ def golden_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def golden_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = table(spark, sf_dir, "documents")
     p = noise.pages(spark, sf_dir).withColumnRenamed("text", "raw").join(d.select("doc_id", F.col("text").alias("expected")), "doc_id")
     s = p.select(
         F.col("doc_id").cast("string").alias("sample_id"), F.lit("body_only").alias("expected_page_type"), F.when(F.col("doc_id") % 3 == 0, "notes_only").otherwise("body_only").alias("predicted_page_type"),
@@ -262,7 +263,7 @@ def layout_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH b AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'Text' WHEN 1 THEN 'figure_title' WHEN 2 THEN 'Table_Caption' WHEN 3 THEN 'photo' WHEN 4 THEN 'mysterious' ELSE 'doc-header' END AS raw_label FROM documents)
  SELECT CASE raw_label WHEN 'Text' THEN 'body' WHEN 'figure_title' THEN 'title' WHEN 'Table_Caption' THEN 'note' WHEN 'photo' THEN 'picture' WHEN 'mysterious' THEN 'body' ELSE 'note' END AS mapped_label, count(*)::BIGINT AS n FROM b GROUP BY 1""")
 def layout_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = table(spark, sf_dir, "documents")
     raw = F.expr("CASE doc_id % 6 WHEN 0 THEN 'Text' WHEN 1 THEN 'figure_title' WHEN 2 THEN 'Table_Caption' WHEN 3 THEN 'photo' WHEN 4 THEN 'mysterious' ELSE 'doc-header' END")
     return d.groupBy(layout.label(raw).alias("mapped_label")).agg(F.count("*").alias("n"))
 
@@ -285,7 +286,7 @@ _OCR = "(doc_id * 37 % 101) < 8"
  c AS (SELECT *, min(CASE WHEN n >= 20 AND (good / n < 0.10 OR n - coalesce(last, 0) >= 12) THEN doc_id END) OVER (PARTITION BY book) AS stop FROM b)
  SELECT doc_id, coalesce(doc_id > stop, false) AS ocr_disabled FROM c""")
 def ocr_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("source").alias("book"), "doc_id", F.col("doc_id").alias("page_number"), F.expr(_OCR).alias("success"))
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("book"), "doc_id", F.col("doc_id").alias("page_number"), F.expr(_OCR).alias("success"))
     return routing.ocr_breaker(d).select("doc_id", "ocr_disabled")
 
 

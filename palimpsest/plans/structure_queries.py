@@ -11,6 +11,7 @@ from ..functions import line_rules as L
 from ..functions import patterns as P
 from ..functions.rx import solid_lines
 from ..operators import edit_plans, geometry, page_cleaning, post_clean, projections, segments, splits
+from ..sources.tables import table
 from . import noise, sql
 from .decision_queries import _ORDER, _SKIP
 from .queries import query
@@ -74,7 +75,7 @@ def painted_area(spark: SparkSession, sf_dir: str) -> DataFrame:
         box = F.array(x, y, x + side(r, 3, 19, 8) + 20, y + side(r, 5, 7, 4) + 10)
         return F.struct(box.alias("bbox"), F.when((d + r) % 3 == 0, "keep").otherwise("mask").alias("action"))
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id")
     rest = geometry.painted(F.transform(F.sequence(F.lit(0), F.lit(_REGIONS - 1)), region), F.lit(200.0), F.lit(100.0))
     return docs.select("doc_id", F.aggregate(F.transform(rest, lambda b: (b[2] - b[0]) * (b[3] - b[1])), F.lit(0.0), lambda s, a: s + a).alias("painted"))
 
@@ -87,7 +88,7 @@ def split_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", F.col("source").alias("book"), (F.col("doc_id") % 7 * 100.0 + 300).alias("width"), (F.col("doc_id") % 5 * 100.0 + 200).alias("height"))
 
 
