@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.tables import table
+
 #: Space, tab, line feed, vertical tab, form feed, carriage return: what separates words.
 WS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,10 +23,6 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once for each row, whatever the optimizer inlines."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -163,3 +161,6 @@ def running(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFra
     before = W.partitionBy("_part").orderBy(*[c.asc_nulls_first() for c in by]).rowsBetween(W.unboundedPreceding, -1)
     rows = ranges.select("*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(out) for out, c in sums.items()]).join(F.broadcast(totals), "_part")
     return rows.select(*df.columns, *[(F.col(out) + F.col(f"_{out}")).alias(out) for out in sums])
+
+
+__all__ = ["digest", "let", "parts", "ranged", "released", "running", "scratch", "shared_folder", "table", "with_next", "words", "written"]
