@@ -156,14 +156,27 @@ def without_mojibake(text: Column) -> Column:
     return joined(F.transform(lines(text), lambda x: F.when(has(x, MOJIBAKE), clean(x)).otherwise(x)))
 
 
+def without_markers(text: Column) -> Column:
+    """Texts without markers of an index and of gaps, names in angle brackets bare, and arrows as dashes."""
+    return F.replace(sub(sub(sub(text, INDEX_MARKER, "", "i"), PLACEHOLDER, ""), ANGLE_TEXT, "$1"), F.lit("—>"), F.lit("—"))
+
+
+def without_inner_headers(text: Column) -> Column:
+    """A running header in capitals inside a broken word goes."""
+    return sub(text, CAPS_IN_WORD, "$1 $2")
+
+
+def without_bibliography_headings(text: Column) -> Column:
+    return sub(text, BIBLIOGRAPHY, "", "i")
+
+
 def normalized_document(text: Column) -> Column:
     """The first pass: invisible characters, markers, hyphens, compounds, bibliography headings, mojibake, bullets, blank lines."""
     t = sub(F.coalesce(text, F.lit("")), r"\r\n?", "\n")
-    t = sub(F.replace(t, F.lit(P.SOFT_HYPHEN), F.lit("")), P.ZERO_WIDTH, "")
-    t = F.replace(sub(sub(sub(t, INDEX_MARKER, "", "i"), PLACEHOLDER, ""), ANGLE_TEXT, "$1"), F.lit("—>"), F.lit("—"))
-    t = unhyphenated(sub(t, CAPS_IN_WORD, "$1 $2"))
+    t = without_markers(sub(F.replace(t, F.lit(P.SOFT_HYPHEN), F.lit("")), P.ZERO_WIDTH, ""))
+    t = unhyphenated(without_inner_headers(t))
     t = replaced_words(joined_splits(replaced_words(t, COMPOUNDS)), JOINED)
-    t = bullets(without_mojibake(sub(t, BIBLIOGRAPHY, "", "i")))
+    t = bullets(without_mojibake(without_bibliography_headings(t)))
     return strip(sub(sub(F.replace(t, F.lit("\t"), F.lit(" ")), r"[ \t]+\n", "\n"), r"\n{3,}", "\n\n"))
 
 
