@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 import pyarrow as pa
@@ -59,14 +60,30 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables that were written, in order.
+_tables: list[str] = []
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, what)
     df.write.parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def working(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that were written inside, but for the last one: what is made from them has been written by then."""
+    mark = len(_tables)
+    yield
+    gone, _tables[mark:] = _tables[mark:-1], _tables[-1:] if len(_tables) > mark else []
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function on Arrow batches that gives free memory back when its task ends: a worker waits for the next task, beside the executor."""
 
@@ -163,4 +180,4 @@ def running(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFra
     return rows.select(*df.columns, *[(F.col(out) + F.col(f"_{out}")).alias(out) for out in sums])
 
 
-__all__ = ["digest", "let", "parts", "ranged", "released", "running", "scratch", "shared_folder", "table", "with_next", "words", "written"]
+__all__ = ["digest", "let", "parts", "ranged", "released", "running", "scratch", "shared_folder", "table", "with_next", "words", "working", "written"]
