@@ -7,6 +7,8 @@ from . import sql
 from .decision_queries import _LOW, _MOJI, _SKIP, _noted, replayed_states
 from .queries import NOISY_SQL, ORACLES, QUERIES
 from .rule_queries import _COUNTS, S, _flags, _protected, page_tests
+from .run_queries import _is_note, _lstrip, _rstrip
+from .structure_queries import _glue
 
 B = chr(92)
 #: Noisy pages in the place of made ones.
@@ -92,3 +94,15 @@ ORACLES["stitched_conversations"] = f"""WITH RECURSIVE b AS (SELECT conv_id, tur
  e AS (SELECT conv_id, turn, {sql.joined(f"list_filter(list_append(out, held), lambda y: {sql.strip('y')} <> '')")} AS block FROM f QUALIFY k = max(k) OVER (PARTITION BY conv_id, turn)),
  j AS (SELECT conv_id, string_agg(block, chr(10) ORDER BY turn, block) AS text, count(*)::BIGINT AS n_pages FROM e WHERE block <> '' GROUP BY conv_id)
  SELECT conv_id, {sql.strip(sql.joined(f"list_transform(list_filter(string_split(text, chr(10)), lambda y: {sql.strip('y')} <> ''), lambda y: {sql.sub('y', B + 's+$')})"))} || chr(10) AS text, n_pages FROM j"""
+
+# edit plans of three operations, or of a merge and an unknown one
+
+_clean = lambda y: sql.strip(sql.sub(sql.sub(sql.sub(y, "[" + B + "x{AD}" + B + "x{200B}-" + B + "x{200D}" + B + "x{2060}" + B + "x{FEFF}]"), "[ " + B + "t" + chr(160) + "]{2,}", " "), B + "s+([,.;:!?])", B + "1"))
+_normal = lambda c: sql.strip(sql.sub(sql.sub(c, "[ " + B + "t]+\n", "\n"), "\n{3,}", "\n\n"))
+_cut = f"list_filter(range(greatest(0, len(r) - 20), len(r)), lambda i: {sql.tally('r[i + 1:]', _is_note, 'v')} >= 2 AND {_is_note('list_filter(r[i + 1:], lambda u: u <> ' + chr(39) * 2 + ')[1]')})[1]"
+ORACLES["edit_plans_applied"] = f"""{NOISY_SQL}, p AS (SELECT doc_id, doc_id % 3 <> 0 AS three, {sql.sub('text', B + 'r' + B + 'n?', chr(10))} AS text FROM pages_), x AS (SELECT *, string_split(text, chr(10)) AS x FROM p),
+ o AS (SELECT *, list_transform(x[2:], lambda y: {_clean('y')}) AS tidy, {_rstrip('x[1]')} AS a, {_lstrip('x[2]')} AS b FROM x), r AS (SELECT *, list_transform(list_filter(range(len(tidy)), lambda i: tidy[i + 1] <> '' OR i = 0 OR tidy[i] <> ''), lambda i: tidy[i + 1]) AS r FROM o),
+ c AS (SELECT *, CASE WHEN len(r) >= 2 THEN {_cut} END AS cut, {sql.joined('r')} = {sql.joined('x[2:]')} AS same FROM r),
+ n AS (SELECT *, CASE WHEN three THEN list_filter([CASE WHEN same THEN 'normalize_spacing_noop' END, CASE WHEN cut IS NULL THEN 'strip_trailing_reference_block_noop' END], lambda v: v IS NOT NULL) ELSE list_filter([CASE WHEN len(x) < 2 THEN 'merge_with_next_missing_target:1' END, 'unsupported_operation_ignored:unknown'], lambda v: v IS NOT NULL) END AS notes,
+  CASE WHEN three THEN CASE WHEN cut IS NULL THEN {sql.joined('r')} ELSE {sql.joined('r[1:cut]')} END WHEN len(x) < 2 THEN text ELSE {sql.joined(f'[{_glue}] || x[3:]')} END AS made FROM c)
+ SELECT doc_id, {_normal('made')} AS text, (CASE WHEN three THEN 3 ELSE 2 END - len(notes))::INT AS n_edits, array_to_string(notes, ',') AS notes FROM n"""
