@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import released, table
 from .piece_bpe import Memory, model_path
 
+#: Words of which a worker remembers the counts, in each of two generations, with and without a space before them.
+REMEMBERED = 400_000
 #: Tokens above which a document is over the limit.
 LIMIT = 1024
 COUNTS = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
@@ -50,18 +52,23 @@ class PrefixCounter:
         self.tokens = {x: None for x in (raw(t) for t in model["vocab"] if t not in special) if len(x) == 1 or self.merged(x) == [x]}
         self.longest = max(map(len, self.tokens))
         self.next_to: dict[tuple[bytes, bytes], bool] = {}
-        self.after_space, self.bare = Memory(), Memory()
+        self.after_space, self.bare = Memory(REMEMBERED), Memory(REMEMBERED)
         self.blank = regex.compile(r"\s+")
         self.odd_space = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
     def merged(self, x: bytes) -> list[bytes]:
         """The tokens of a short byte string, by merging the pair of least rank again and again."""
-        parts, rank = [x[i : i + 1] for i in range(len(x))], self.rank
-        while len(parts) > 1:
-            best, at = min((rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:])))
-            if best == 1 << 60:
-                break
+        none, get = 1 << 60, self.rank.get
+        parts = [x[i : i + 1] for i in range(len(x))]
+        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((parts[at - 1], parts[at]), none)
+            if at < len(ranks):
+                ranks[at] = get((parts[at], parts[at + 1]), none)
         return parts
 
     def together(self, a: bytes, b: bytes) -> bool:
@@ -76,15 +83,19 @@ class PrefixCounter:
     def prefixes(self, word: bytes) -> list[int]:
         """count[i]: tokens of word[:i]. The tokens of a prefix end with the one token that fits after those of what is
         before it, as what precedes a token in an encoding is the encoding of that prefix; so count[i] = count[i - size] + 1."""
-        n, tokens = len(word), self.tokens
+        n, tokens, follows = len(word), self.tokens, self.next_to.get
         last: list[bytes] = [b""] * (n + 1)
         count = [0] * (n + 1)
         for i in range(1, n + 1):
             for j in range(max(0, i - self.longest), i):
                 t = word[j:i]
-                if t in tokens and (j == 0 or self.together(last[j], t)):
-                    last[i], count[i] = t, count[j] + 1
-                    break
+                if t in tokens:
+                    fits = j == 0 or follows((last[j], t))
+                    if fits is None:
+                        fits = self.together(last[j], t)
+                    if fits:
+                        last[i], count[i] = t, count[j] + 1
+                        break
             else:
                 raise AssertionError(f"no token ends at {i} of {word!r}")
         return count
