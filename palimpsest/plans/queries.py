@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import line_rules as L
 from ..functions import normalize as N
 from ..functions import patterns as P
-from ..functions.rx import count, has, let, lines, n_compact, solid_lines, strip, tally
+from ..functions.rx import has, let, lines, n_compact, solid_lines, strip, tally
 from ..operators import edit_plans, evaluation, layout, page_cleaning, post_clean, reports, review, routing, states, stitching
 from ..sources.tables import table
 from . import noise
@@ -78,18 +78,6 @@ def strip_repeated_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", F.size(solid_lines(F.col("s.text"))).cast("bigint").alias("n_lines"), F.size("s.edits").cast("bigint").alias("n_removed"))
 
 
-_ALL = lambda p, flags="": f"len(regexp_extract_all(text, '{flags}{p}'))::BIGINT"
-
-
-@query(f"""{NOISY_SQL} SELECT doc_id, {_ALL("[А-Яа-яЁё]+-[А-Яа-яЁё]+")} AS hyphen_words, {_ALL("https?://\\S+|[^\\s@]+@[^\\s@]+\\b")} AS links_and_addresses, {_ALL("\\b[0-9]+(?:[.][0-9]+)+\\b")} AS numbering FROM pages_""")
-def protected_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    return noise.pages(spark, sf_dir).select(
-        "doc_id", count(t, P.PROTECTED["lexical_hyphen_words"]).cast("bigint").alias("hyphen_words"), count(t, r"https?://\S+|[^\s@]+@[^\s@]+\b").cast("bigint").alias("links_and_addresses"),
-        count(t, r"\b[0-9]+(?:[.][0-9]+)+\b").cast("bigint").alias("numbering"),
-    )
-
-
 @query()
 def protected_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = noise.pages(spark, sf_dir).select("book", F.explode(let(F.col("text"), page_cleaning.protected_hits)).alias("h"))
@@ -129,17 +117,6 @@ def ocr_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("doc_id", "skip", F.col("plan.source").alias("source"), F.col("plan.difficulty").alias("difficulty"), F.col("plan.reason").alias("reason"), F.col("route.decision").alias("decision"), F.col("route.risk").alias("risk"))
 
 
-@query("""WITH c AS (SELECT doc_id, source, length(regexp_replace(text, '\\s+', '', 'g')) AS n FROM documents)
- SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'hard_ocr_page' WHEN doc_id % 4 = 1 THEN 'skip_nonbody_page' WHEN doc_id % 4 = 2 THEN 'risky_extract_page' WHEN n < 260 THEN 'risky_extract_page' ELSE 'easy_page' END AS decision,
- CASE WHEN doc_id % 4 = 0 THEN 'high' WHEN doc_id % 4 = 1 THEN 'low' WHEN doc_id % 4 = 2 THEN 'medium' WHEN n < 260 THEN 'medium' ELSE 'low' END AS risk FROM c""")
-def route_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    m = F.col("doc_id") % 4
-    source = F.when(m == 0, "ocr").when(m == 1, "ocr_skipped_nonbody").otherwise("extract")
-    r = routing.route(source, F.when(m == 2, "body_with_notes").otherwise("body_only"), F.lit("blocks"), n_compact(F.col("text")))
-    return d.select("doc_id", r.alias("r")).select("doc_id", "r.decision", "r.risk")
-
-
 @query("""SELECT page_id, length(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\\b[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'),
  '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g')))::BIGINT AS n_chars FROM pages""")
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,12 +237,18 @@ def layout_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.block_roles(b, ["doc_id"]).groupBy("role").agg(F.count("*").alias("n"))
 
 
-@query("""WITH b AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'Text' WHEN 1 THEN 'figure_title' WHEN 2 THEN 'Table_Caption' WHEN 3 THEN 'photo' WHEN 4 THEN 'mysterious' ELSE 'doc-header' END AS raw_label FROM documents)
- SELECT CASE raw_label WHEN 'Text' THEN 'body' WHEN 'figure_title' THEN 'title' WHEN 'Table_Caption' THEN 'note' WHEN 'photo' THEN 'picture' WHEN 'mysterious' THEN 'body' ELSE 'note' END AS mapped_label, count(*)::BIGINT AS n FROM b GROUP BY 1""")
+_LABELS = (*P.LAYOUT_LABELS, "Doc-Title", "sub_heading", "Spread Sheet", "bar-chart 3", "photo", "page-number", "mysterious", "  BIBLIOGRAPHY  list ", "Plain-Text", "Figure_Title", "")
+_label_words = " ".join(f"WHEN regexp_matches(l, '{words}') THEN '{kind}'" for kind, words in P.LAYOUT_WORDS)
+_known_labels = "map([" + ", ".join(f"'{k}'" for k in P.LAYOUT_LABELS) + "], [" + ", ".join(f"'{v}'" for v in P.LAYOUT_LABELS.values()) + "])"
+
+
+@query(f"""WITH b AS (SELECT doc_id, regexp_replace(trim(lower(([{', '.join(f"'{x}'" for x in _LABELS)}])[doc_id % {len(_LABELS)} + 1])), '[ _-]+', ' ', 'g') AS l FROM documents), m AS (SELECT doc_id, coalesce({_known_labels}[l], CASE {_label_words} ELSE 'body' END) AS kind FROM b)
+ SELECT doc_id, kind AS mapped_label, CASE WHEN kind IN ('title', 'body') THEN 'keep' ELSE 'mask' END AS action FROM m""")
 def layout_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    raw = F.expr("CASE doc_id % 6 WHEN 0 THEN 'Text' WHEN 1 THEN 'figure_title' WHEN 2 THEN 'Table_Caption' WHEN 3 THEN 'photo' WHEN 4 THEN 'mysterious' ELSE 'doc-header' END")
-    return d.groupBy(layout.label(raw).alias("mapped_label")).agg(F.count("*").alias("n"))
+    """What labels of detectors stand for, known ones, compounds and others, and whether their regions stay."""
+    raw = F.get(F.array(*[F.lit(x) for x in _LABELS]), (F.col("doc_id") % len(_LABELS)).cast("int"))
+    d = table(spark, sf_dir, "documents").select("doc_id", layout.label(raw).alias("mapped_label"))
+    return d.withColumn("action", layout.action(F.col("mapped_label")))
 
 
 @query()

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import line_rules as L
-from ..functions import normalize as N
 from ..functions import patterns as P
-from ..functions.rx import count, has, let, solid_lines, tally
-from ..operators import edit_plans, model_edits, page_cleaning, post_clean, review
+from ..functions.rx import has, let, solid_lines, tally
+from ..operators import model_edits, page_cleaning, post_clean
 from . import noise, sql
 from .queries import query
 
