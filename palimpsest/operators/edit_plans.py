@@ -26,6 +26,7 @@ INLINE = {
     "return_to_index": (re.compile(r"(?im)^\s*ВЕРНУТЬСЯ\s+К\s+ИНДЕКСУ\s*$"), "isolated_ocr_noise"),
     "superscript_note_markers": (re.compile(r"(?<=[A-Za-zА-Яа-яЁё])[¹²³⁴⁵⁶⁷⁸⁹]"), "inline_note_marker_strip"),
 }
+# Lines that look like notes, invisible characters, and words of a reason that name notes
 NOTE_LINE = re.compile(
     r"^\d{1,3}[.)]?\s+|^\[\d{1,3}\]\s+|https?://| // |//$|^(?:См\.|Ibid\.|Цит\. соч\.)|(?i:\b(?:см\.|цит\. по:|ibid\.|op\. cit\.|ргали\.|ф\.\s*\d+|оп\.\s*\d+|ед\.\s*хр\.|л\.\s*\d+|спб\.|м\.:|л\.;\s*м\.:|//)\b)"
 )
@@ -163,6 +164,7 @@ class Sheet:
         return "spacing_cleanup", "normalize", before, self.text
 
 
+# Names of operations
 OPERATIONS = ("delete_line_range", "merge_with_next", "normalize_spacing", "remove_inline_pattern", "split_after_text", "split_before_text", "strip_trailing_reference_block")
 
 

@@ -37,6 +37,7 @@ class Settings:
     at_once: int | None = 4
 
 
+# Names of profiles, and whether structure is restored on risky pages only
 PROFILES = {"balanced_cost": Settings(), "max_quality": Settings(cleaning="fast", cleaning_again="strong", repair="fast", repair_again="strong", structure="strong", structure_risky_only=False)}
 
 

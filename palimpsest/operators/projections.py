@@ -13,6 +13,8 @@ from .review import higher_risk, risk_of
 from .states import at_least, effective, export_reason, export_text
 
 EMPTY_LIST = "array<string>"
+# Statuses of a structure stage whose text is a model's own
+MODEL_STATUSES = ("gemini", "deepseek")
 
 
 def _or(value: Column, default: Column) -> Column:
@@ -74,7 +76,7 @@ def backfilled(states: DataFrame, reviews: DataFrame, repairs: DataFrame, struct
     final_text_source (null: by the status, a model's own text or the repaired one)."""
     r = reviews.select(*key, F.col("issue_tags").alias("_tags"), risk_of(F.col("page_verdict")).alias("_risk"))
     p = repairs.select(*key, F.col("repaired_text").alias("_repaired"), F.lit(True).alias("_has_repair"))
-    made_by_model = F.col("status").isin("gemini", "deepseek")
+    made_by_model = F.col("status").isin(*MODEL_STATUSES)
     source = F.coalesce("final_text_source", F.when(made_by_model, "structure_restore_generated").otherwise("repaired_passthrough"))
     t = structures.select(*key, F.coalesce("restored_text", F.lit("")).alias("_final"), F.coalesce("status", F.lit("legacy_restored")).alias("_status"), source.alias("_source"))
     s = states.join(r, key, "left").join(p, key, "left").join(t, key, "left")
