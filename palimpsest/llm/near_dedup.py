@@ -21,6 +21,8 @@ SMALL = 8
 ORDERS = 8
 #: Members of a block of a large bucket: blocks are compared two by two, so that no task gets a whole bucket.
 BLOCK = 1024
+#: Shingles of a block, about, where its texts are long; a longer text is a block alone.
+BLOCK_SHINGLES = 1 << 22
 #: Keys of more than 1 / HOT_KEYS of all rows are fewer than that and may be broadcast; the rows of a key that is joined are dealt out to salts.
 HOT_KEYS, PER_SALT = 20_000, 256
 #: Rounds of stars until classes stand, at most; the number grows with the logarithm of the longest chain of links.
@@ -249,6 +251,27 @@ def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> Dat
     return both.where(resembles(F.col("a_items"), F.col("b_items"), least)).select("a", "b")
 
 
+def paired_blocks(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets of more than SMALL members in which classes are still apart, in pairs of blocks (key, p, q): as `left` those
+    outside the largest class, in block p, and all of them in block q. A block is bounded by its members and by their shingles."""
+    large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node")
+    large = large.join(texts.select("node", "size"), "node").join(found, "node", "left")
+    large = written(large.withColumn("root", F.coalesce("root", "node")), "members")
+    by_class = large.groupBy("key", "root", "n").agg(F.count("*").alias("m"), F.sum("size").alias("shingles"))
+    mixed = by_class.groupBy("key", "n").agg(F.max(F.struct("m", "root", "shingles")).alias("top"), F.sum("shingles").alias("shingles")).where("top.m < n")
+    blocks = lambda n, shingles: F.least(n, F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))).cast("int")
+    mixed = mixed.withColumn("ps", blocks(F.col("n") - F.col("top.m"), F.col("shingles") - F.col("top.shingles"))).withColumn("qs", blocks(F.col("n"), F.col("shingles")))
+    mixed = for_salts(mixed).select("key", "salt", F.col("top.root").alias("top"), "ps", "qs")
+    members = salted(large, "node").join(mixed, ["key", "salt"]).drop("salt")
+    members = members.join(texts.select("node", "bands", "sketch"), "node").join(items, "node")
+    block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    side = ["i", "node", "root", "top", "size", "bands", "sketch", "items"]
+    left = members.where("root <> top").select("key", block("ps").alias("p"), every("qs").alias("q"), F.lit(True).alias("left"), *side)
+    right = members.select("key", every("ps").alias("p"), block("qs").alias("q"), F.lit(False).alias("left"), *side)
+    return left.unionByName(right)
+
+
 def crossing(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that join what classes are still apart in buckets of more than SMALL members: all that candidates() may have left.
 
@@ -258,19 +281,6 @@ def crossing(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataF
     cut into blocks, each two blocks are compared on their own, and pairs are never rows.
     """
     enough = least_matches(least)
-    large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node")
-    large = written(large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
-    by_class = large.groupBy("key", "root", "n").agg(F.count("*").alias("m"))
-    mixed = by_class.groupBy("key", "n").agg(F.max(F.struct("m", "root")).alias("top")).where("top.m < n")
-    mixed = for_salts(mixed).select("key", "salt", F.col("top.root").alias("top"), (F.col("n") - F.col("top.m")).alias("others"))
-    members = salted(large, "node").join(mixed, ["key", "salt"]).drop("salt")
-    members = members.join(texts.select("node", "size", "bands", "sketch"), "node").join(items, "node")
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    side = ["i", "node", "root", "top", "size", "bands", "sketch", "items"]
-    left = members.where("root <> top").select("key", block(F.col("others")).alias("p"), every(F.col("n")).alias("q"), F.lit(True).alias("left"), *side)
-    right = members.select("key", every(F.col("others")).alias("p"), block(F.col("n")).alias("q"), F.lit(False).alias("left"), *side)
 
     def compare(t: pa.Table) -> pa.Table:
         node, root, size, is_left = (t[c].to_numpy() for c in ("node", "root", "size", "left"))
@@ -304,7 +314,7 @@ def crossing(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataF
             mark[own] = False
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return left.unionByName(right).groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
+    return paired_blocks(shared, texts, items, found).groupBy("key", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
 def stars(edges: DataFrame) -> DataFrame:

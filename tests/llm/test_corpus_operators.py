@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from palimpsest.llm import mixing, near_dedup, ngram_trie, page_text, quality_trees, tokens
@@ -269,6 +270,30 @@ def test_links_below_every_leader_are_found(spark):
     assert [got[i] for i in range(300)] == want
 
 
+def test_blocks_of_long_texts_are_bounded_by_shingles(spark, monkeypatch):
+    r = random.Random(37)
+    shared = prose(r, 400)
+    own = lambda k, n: " ".join(f"own{k}x{j}" for j in range(n))
+    texts = [f"{shared} {own(k, 52)}" for k in range(120)]  # each two at 0.79
+    for k in range(0, 120, 4):
+        texts[k + 1] = f"{shared} {own(k, 13)} {own(k + 1, 39)}"
+    paired, most = near_dedup.paired_blocks, []
+
+    def measured(*tables):
+        rows = paired(*tables)
+        sizes = rows.groupBy("key", "p", "q").agg(F.sum(F.size("items")).alias("n"))
+        most.append(sizes.agg(F.max("n")).first()[0])
+        return rows
+
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 10_000)
+    monkeypatch.setattr(near_dedup, "paired_blocks", measured)
+    d = spark.createDataFrame(table(texts), SCHEMA).repartition(3)
+    got = {x.doc_id: x.class_id for x in near_dedup.classes(d).collect()}
+    assert [got[i] for i in range(120)] == expected(texts)
+    # two blocks, of which hashes may give one twice the mean; the whole bucket on both sides is over 80,000
+    assert most and 0 < most[0] <= 40_000
+
+
 def test_no_probability_is_rounded_up():
     p = np.array([1.0, 0.5, 1e-3, 4.3e-7, 4e-7, 1e-7, 2e-9, 1e-12, 1e-18])
     code = ngram_trie.quantised(p)
