@@ -198,9 +198,9 @@ def for_salts(keys: DataFrame) -> DataFrame:
 
 
 def buckets(bands: DataFrame) -> DataFrame:
-    """(node, i, key, next, n): the buckets of more than one node, by band i, with the next band's key and the bucket's size."""
+    """(node, size, i, key, next, n): the buckets of more than one node, by band i, with the next band's key, the bucket's size as n and the node's as size."""
     pair = F.transform("bands", lambda k, i: F.struct(k.alias("key"), F.xxhash64(k, F.get(F.col("bands"), (i + 1) % F.size("bands"))).alias("next")))
-    keys = bands.select("node", F.posexplode(pair).alias("i", "k")).select("node", "i", "k.key", "k.next")
+    keys = bands.select("node", "size", F.posexplode(pair).alias("i", "k")).select("node", "size", "i", "k.key", "k.next")
     return written(counted(keys, "key", BANDS * bands.count()), "buckets")
 
 
@@ -253,9 +253,10 @@ def linked(items: DataFrame, pairs: DataFrame, least: float = SIMILARITY) -> Dat
 
 def paired_blocks(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
     """The members of buckets of more than SMALL members in which classes are still apart, in pairs of blocks (key, p, q): as `left` those
-    outside the largest class, in block p, and all of them in block q. A block is bounded by its members and by their shingles."""
-    large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node")
-    large = large.join(texts.select("node", "size"), "node").join(found, "node", "left")
+    outside the largest class, in block p, and all of them in block q. A block is bounded by its members and by their shingles.
+
+    A node is a member of BANDS buckets at most; what is compared of it is put together once and joined to its members once."""
+    large = shared.where(F.col("n") > SMALL).select("key", "i", "n", "node", "size").join(found, "node", "left")
     large = written(large.withColumn("root", F.coalesce("root", "node")), "members")
     by_class = large.groupBy("key", "root", "n").agg(F.count("*").alias("m"), F.sum("size").alias("shingles"))
     mixed = by_class.groupBy("key", "n").agg(F.max(F.struct("m", "root", "shingles")).alias("top"), F.sum("shingles").alias("shingles")).where("top.m < n")
@@ -263,13 +264,15 @@ def paired_blocks(shared: DataFrame, texts: DataFrame, items: DataFrame, found:
     mixed = mixed.withColumn("ps", blocks(F.col("n") - F.col("top.m"), F.col("shingles") - F.col("top.shingles"))).withColumn("qs", blocks(F.col("n"), F.col("shingles")))
     mixed = for_salts(mixed).select("key", "salt", F.col("top.root").alias("top"), "ps", "qs")
     members = salted(large, "node").join(mixed, ["key", "salt"]).drop("salt")
-    members = members.join(texts.select("node", "bands", "sketch"), "node").join(items, "node")
+    members = members.join(texts.select("node", "bands", "sketch").join(items, "node"), "node")
     block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    place = lambda p, q, left: F.struct(p.alias("p"), q.alias("q"), F.lit(left).alias("left"))
+    lefts = F.when(F.col("root") != F.col("top"), F.transform(every("qs"), lambda q: place(F.col("p"), q, True))).otherwise(F.array().cast("array<struct<p:int,q:int,left:boolean>>"))
+    rights = F.transform(every("ps"), lambda p: place(p, F.col("q"), False))
+    members = members.withColumn("p", block("ps")).withColumn("q", block("qs")).withColumn("places", F.concat(lefts, rights))
     side = ["i", "node", "root", "top", "size", "bands", "sketch", "items"]
-    left = members.where("root <> top").select("key", block("ps").alias("p"), every("qs").alias("q"), F.lit(True).alias("left"), *side)
-    right = members.select("key", every("ps").alias("p"), block("qs").alias("q"), F.lit(False).alias("left"), *side)
-    return left.unionByName(right)
+    return members.select("key", F.explode("places").alias("at"), *side).select("key", "at.*", *side)
 
 
 def crossing(shared: DataFrame, texts: DataFrame, items: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:

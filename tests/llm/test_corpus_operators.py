@@ -294,6 +294,43 @@ def test_blocks_of_long_texts_are_bounded_by_shingles(spark, monkeypatch):
     assert most and 0 < most[0] <= 40_000
 
 
+def join_rows(spark, since):
+    """Rows that inner joins by node made in the executions after the `since`-th, and the number of executions."""
+    store, made = spark._jsparkSession.sharedState().statusStore(), 0
+    n = store.executionsCount()
+    for x in (store.executionsList(since, n - since).apply(k) for k in range(n - since)):
+        values, nodes = store.executionMetrics(x.executionId()), store.planGraph(x.executionId()).allNodes()
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            if "Join" in node.name() and re.search(r"\[node#\d+L?\], \[node#\d+L?\], Inner", node.desc()):
+                ids = [m.accumulatorId() for m in (node.metrics().apply(k) for k in range(node.metrics().size())) if m.name() == "number of output rows"]
+                made += sum(int(values.apply(i).replace(",", "")) for i in ids if values.contains(i))
+    return made, n
+
+
+def test_members_of_large_buckets_are_joined_once(spark, monkeypatch):
+    """What is compared of a text goes once to each of its buckets, so that rows of joins double with the group."""
+    r = random.Random(41)
+    shared = prose(r, 400)
+    own = lambda k, n: " ".join(f"own{k}x{j}" for j in range(n))
+    texts = [f"{shared} {own(k, 52)}" for k in range(160)]  # each two at 0.79
+    for k in range(0, 160, 4):
+        texts[k + 1] = f"{shared} {own(k, 13)} {own(k + 1, 39)}"
+    paired, members = near_dedup.paired_blocks, []
+
+    def measured(shared, *tables):
+        members.append(shared.where(F.col("n") > near_dedup.SMALL).count())
+        return paired(shared, *tables)
+
+    monkeypatch.setattr(near_dedup, "paired_blocks", measured)
+    for n in (80, 160):
+        since = join_rows(spark, 0)[1]
+        got = {x.doc_id: x.class_id for x in near_dedup.classes(spark.createDataFrame(table(texts[:n]), SCHEMA).repartition(3)).collect()}
+        assert [got[i] for i in range(n)] == expected(texts[:n])
+        made = join_rows(spark, since)[0]
+        # one row for each member, and one for each text
+        assert 0 < members[-1] <= near_dedup.BANDS * n and 0 < made <= members[-1] + n
+
+
 def test_no_probability_is_rounded_up():
     p = np.array([1.0, 0.5, 1e-3, 4.3e-7, 4e-7, 1e-7, 2e-9, 1e-12, 1e-18])
     code = ngram_trie.quantised(p)
