@@ -177,11 +177,16 @@ def spacing_step(t: Column) -> Column:
     return let(N.spacing(t), lambda after: step(after, note(after)))
 
 
+def without_noise(parts: Column, bare: Callable[[Column], Column] = strip) -> Column:
+    """The lines that aren't noise once they are bare."""
+    return F.filter(parts, lambda y: ~let(bare(y), L.is_noise))
+
+
 def noise_step(t: Column) -> Column:
-    noisy = lambda x: L.is_noise(strip(x))
+    noisy = lambda x: let(strip(x), L.is_noise)
     return let(
         F.transform(lines(t), rstrip),
-        lambda x: step(joined(F.filter(x, lambda y: ~noisy(y))), F.transform(F.filter(x, noisy), lambda y: edit("isolated_ocr_noise", "delete", y, F.lit("")))),
+        lambda x: step(joined(without_noise(x)), F.transform(F.filter(x, noisy), lambda y: edit("isolated_ocr_noise", "delete", y, F.lit("")))),
     )
 
 

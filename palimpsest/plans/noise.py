@@ -22,8 +22,9 @@ NOISY = f"""concat(CASE WHEN doc_id % 3 <> 0 THEN concat('RUNNING HEAD ', source
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, book and noisy text of every document."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.col("source").alias("book"), F.expr(NOISY).alias("text"))
+    none = F.lit("")  # the other engine's concat() passes over nulls
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("book"), F.coalesce("source", none).alias("source"), F.coalesce("text", none).alias("text"))
+    return d.select("doc_id", "book", F.expr(NOISY).alias("text"))
 
 
 def rule_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,3 +20,9 @@ def test_hyphens_before_words_with_other_letters(spark, tmp_path):
     # some pages end their head with a broken word
     got, want = both(spark, tmp_path, "anomaly_totals", [(i, "Qué éco-  léger") for i in range(240)])
     assert got == want and want[0][2] > 0
+
+
+def test_lines_that_are_all_noise(spark, tmp_path):
+    texts = [(3, "12"), (6, "xiv\n~~~~"), (12, "word\n"), (24, "12\n"), (36, "\n"), (48, ""), (54, None), (66, "a\rb\x0bc\n7 \t"), (78, "12\n "), (96, "  ~~~  \nstays"), (102, "\t12")]
+    got, want = both(spark, tmp_path, "noise_lines", texts)
+    assert got == want and (12, "word\n") in want and (6, None) in want
