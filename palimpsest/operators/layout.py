@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.line_rules import is_continuation
+from ..functions.line_rules import begins_inside
 from ..functions.rx import compact, full, has, let, solid_lines, strip, sub, tally
 
 #: Heights of the rows by which blocks are read.
@@ -90,20 +90,23 @@ def filtered_blocks(pages: DataFrame) -> DataFrame:
     return p.withColumn("kept_text", F.when(speak, text).otherwise("")).withColumn("note", note)
 
 
-def is_reference_block(text: Column) -> Column:
-    def told(x: Column) -> Column:
-        numbered, cues = tally(x, lambda y: has(y, P.NUMBERED_LINE)), tally(x, lambda y: has(y, P.OCR_REFERENCE_CUE, "i"))
-        return (numbered >= 2) | (cues >= 2) | ((numbered >= 1) & ((cues >= 1) | (tally(x, lambda y: has(y, P.YEAR)) >= 2)))
+def reads_like_references(x: Column) -> Column:
+    """Whether the solid lines of a block are references."""
+    cues, years = tally(x, lambda y: has(y, P.OCR_REFERENCE_CUE, "i")), tally(x, lambda y: has(y, P.YEAR))
+    of = lambda numbered: (numbered >= 2) | ((F.size(x) >= 2) & (cues >= 2)) | ((numbered >= 1) & ((cues >= 1) | (years >= 2)))
+    return let(tally(x, lambda y: has(y, P.NUMBERED_LINE)), of)
 
-    return let(solid_lines(text), told)
+
+def is_reference_block(text: Column) -> Column:
+    return let(solid_lines(text), reads_like_references)
 
 
 def is_heading_block(text: Column, font: Column, n_lines: Column, body_font: Column) -> Column:
     def told(x: Column) -> Column:
-        letters, capitals = F.length(sub(x, "[^A-Za-zА-Яа-яЁё]", "")), F.length(sub(x, "[^A-ZА-ЯЁ]", ""))
-        shouted = (letters >= 10) & (capitals >= F.floor(letters * 0.85)) & (F.length(x) <= 180)
+        letters, capitals = F.length(sub(x, "[^A-Za-zА-Яа-яЁё]+", "")), F.length(sub(x, "[^A-ZА-ЯЁ]+", ""))
+        shouted = (F.length(x) <= 180) & let(letters, lambda n: (n >= 10) & (capitals >= F.floor(n * 0.85)))
         large = (body_font > 0) & (font >= body_font * 1.15) & (n_lines <= 4) & (F.length(x) <= 220)
-        return (x != "") & (has(x, P.OCR_HEADING_START, "i") | shouted | large)
+        return (x != "") & (has(x, P.OCR_HEADING_START, "i") | large | shouted)
 
     return let(compact(text), told)
 
@@ -116,30 +119,37 @@ def block_roles(blocks: DataFrame, page: list[str]) -> DataFrame:
     on_page, down = W.partitionBy(*page), W.partitionBy(*page).orderBy(F.col("bbox")[1], F.col("bbox")[0])
     b = blocks.withColumn("_text", strip(F.coalesce("text", F.lit("")))).withColumn("_top", F.col("bbox")[1].cast("double")).withColumn("_bottom", F.col("bbox")[3].cast("double"))
     font = F.coalesce("avg_font_size", F.lit(0.0))
+
+    def told(x: Column) -> Column:
+        note = F.exists(x, lambda y: has(y, P.OCR_FOOTNOTE_START))
+        return F.struct(F.size(x).alias("n"), reads_like_references(x).alias("reference"), note.alias("note"), begins_inside(x).alias("open"))
+
     b = b.withColumn("_font", F.coalesce(F.median(F.when((F.col("char_count") >= 40) & (font > 0), font)).over(on_page), F.lit(0.0)))
     b = b.withColumn("_start", F.min("_top").over(on_page)).withColumn("_size", F.greatest(F.lit(1.0), F.max("_bottom").over(on_page) - F.col("_start")))
     b = b.withColumn("_gap", F.greatest(F.lit(0.0), F.col("_top") - F.coalesce(F.lag("_bottom").over(down), F.col("_start"))))
     high, low = (F.col("_top") - F.col("_start")) / F.col("_size"), (F.col("_bottom") - F.col("_start")) / F.col("_size")
-    n = F.size(solid_lines(F.col("_text")))
+    # what the text tells is found once for a block, before it is weighed
+    b = b.withColumn("_told", let(solid_lines(F.col("_text")), told))
+    n = F.col("_told.n")
     few = (F.length("_text") <= 140) & (n <= 2)
     on = lambda test, points: F.when(test, points).otherwise(0)
-    body_font, reference = F.col("_font"), is_reference_block(F.col("_text"))
+    body_font, reference = F.col("_font"), F.col("_told.reference")
     score = (
         F.when(high >= 0.70, 2).when(high >= 0.58, 1).otherwise(0) + F.when(low >= 0.88, 2).when(low >= 0.78, 1).otherwise(0)
         + on((body_font > 0) & (font > 0) & (font < body_font * 0.92), 1)
         + on((F.col("_gap") >= F.greatest(F.lit(10.0), F.when(body_font > 0, body_font * 0.9).otherwise(12.0))) & (high >= 0.55), 1)
         + on((n >= 3) & (high >= 0.58), 1) + on(F.col("_text").startswith("(") & (n >= 2) & (high >= 0.55), 2)
         + on((F.col("char_count") >= 180) & (F.col("_gap") >= 18) & (high >= 0.55), 1)
-        + on(F.exists(solid_lines(F.col("_text")), lambda x: has(x, P.OCR_FOOTNOTE_START)), 2) + on(reference, 2)
+        + on(F.col("_told.note"), 2) + on(reference, 2)
     )
-    open_ = is_continuation(F.col("_text"))
+    open_ = F.col("_told.open")
     page_top, page_low = F.col("_top") / F.col("page_height"), F.col("_bottom") / F.col("page_height")
     role = (
-        F.when(full(sub(F.col("_text"), r"\s+", ""), P.OCR_PAGE_NUMBER) & (low >= 0.96), "page_number")
+        F.when((low >= 0.96) & full(sub(F.col("_text"), r"\s+", ""), P.OCR_PAGE_NUMBER), "page_number")
         .when(is_heading_block(F.col("_text"), font, F.col("line_count"), body_font), "heading").when((page_top <= 0.10) & few & ~open_, "header")
         .when((page_low >= 0.90) & few & ~reference & ~open_, "footer").when((score >= 4) & reference, "reference_block").when(score >= 4, "footnote_body").otherwise("body")
     )
-    return b.withColumn("note_score", score).withColumn("role", role).drop("_text", "_top", "_bottom", "_font", "_start", "_size", "_gap")
+    return b.withColumn("note_score", score).withColumn("role", role).drop("_text", "_told", "_top", "_bottom", "_font", "_start", "_size", "_gap")
 
 
 def halves(pages: DataFrame, ratio: float = WIDE) -> DataFrame:
